@@ -52,3 +52,9 @@ def map_columns(df: DataFrame, columns: list[str], schema: str, f: Callable[[dic
 def blank(c) -> F.Column:
     """True for null, empty or all-white-space text."""
     return c.isNull() | (F.length(F.regexp_replace(c, r"(?U)\s+", "")) == 0)
+
+
+def sample_texts(fragments: DataFrame, n: int) -> list[str]:
+    """Texts of ``n`` fragments chosen by hash: the bounded sample that models are fitted on."""
+    rows = fragments.where(F.col("texto").isNotNull()).select("texto", F.xxhash64("chunk_id", "texto").alias("h"))
+    return [r.texto for r in rows.orderBy("h").limit(n).collect()]
