@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from ..session import load
-from . import tokens
+from . import quality, residue, tokens
 
 
 def queries():
     return {
+        "p2_found": lambda s, d: residue.found(load(s, d, "metadata")),
+        "p5_found": lambda s, d: quality.found(load(s, d, "metadata")),
+        "p5_statistics": lambda s, d: quality.text_statistics(load(s, d, "metadata")),
         "p6_found": lambda s, d: tokens.unusable_counts(load(s, d, "metadata")),
         "p7_ids": lambda s, d: tokens.encode_corpus(load(s, d, "documents")),
         "p7_decoded": lambda s, d: tokens.decode_corpus(tokens.encode_corpus(load(s, d, "documents"))),
