@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from ..session import load
-from . import quality, residue, tokens
+from . import language, quality, residue, tokens
 
 
 def queries():
     return {
+        "p1_found": lambda s, d: language.found(load(s, d, "metadata")),
+        "p1_languages": lambda s, d: language.languages(load(s, d, "metadata")).distinct(),
         "p2_found": lambda s, d: residue.found(load(s, d, "metadata")),
         "p5_found": lambda s, d: quality.found(load(s, d, "metadata")),
         "p5_statistics": lambda s, d: quality.text_statistics(load(s, d, "metadata")),
