@@ -82,9 +82,14 @@ class LanguageModel:
         self.clear()
 
     def clear(self) -> None:
+        """Forget the words seen, which changes no score."""
         self.memo: dict[str, int] = {}
         self.rows: list[np.ndarray] = []
         self.table = np.zeros((0, len(STATES)), dtype=np.float32)
+        self.scores: dict[str, list[float]] = {}
+        for g in set().union(*self.grams.values()):
+            x = [math.log(self.grams[k].get(g, 0.0) + 2.0) for k in LATIN]
+            self.scores[g] = [y - sum(x) / len(x) for y in x]
 
     def __getstate__(self):
         return {"rates": self.rates, "grams": self.grams}
@@ -99,12 +104,8 @@ class LanguageModel:
         seen = any(w in self.rates[k] for k in LATIN)
         if not seen:
             v = f" {w} "
-            g = np.zeros(len(LATIN))
-            for i in range(len(v) - 2):
-                t = v[i : i + 3]
-                x = np.log([self.grams[k].get(t, 0.0) + 2.0 for k in LATIN])
-                g += x - x.mean()
-            r = np.clip(0.35 * g, -1.0, 1.0)
+            known = [self.scores[t] for t in (v[i : i + 3] for i in range(len(v) - 2)) if t in self.scores]
+            r = np.clip(0.35 * np.sum(known, axis=0), -1.0, 1.0) if known else np.zeros(len(LATIN))
         r = r - r.mean()
         if word[:1].isupper() and not word.isupper():  # names say less
             r = r * 0.5
@@ -127,15 +128,14 @@ class LanguageModel:
         return row
 
     def ids(self, words: list[str]) -> list[int]:
-        memo, rows = self.memo, self.rows
-        out = []
-        for w in words:
-            i = memo.get(w)
-            if i is None:
-                i = memo[w] = len(rows)
-                rows.append(self.word_row(w))
-            out.append(i)
-        return out
+        try:
+            return list(map(self.memo.__getitem__, words))
+        except KeyError:
+            for w in words:
+                if w not in self.memo:
+                    self.memo[w] = len(self.rows)
+                    self.rows.append(self.word_row(w))
+            return list(map(self.memo.__getitem__, words))
 
     def decode(self, docs: list[tuple[list[int], list[int]]]) -> list[np.ndarray]:
         """Viterbi labels of the words of each (word ids, first-word-of-piece offsets)."""
@@ -185,52 +185,66 @@ def analyse(texts: list[str], model: LanguageModel) -> list[dict]:
     """Per text: ``main`` and ``confidence``, ``whole`` languages with a whole sentence, ``segments`` (language, first, last piece, confidence)."""
     if len(model.rows) > 300_000:
         model.clear()
-    docs, pieces = [], []
+    docs: list[tuple[list[int], list[int]]] = []
     for t in texts:
         ids: list[int] = []
         first: list[int] = []
-        own = []
-        for p in _pieces(t):
+        for p in PIECES.split(t):
             ws = WORD.findall(p)
             if ws:
                 first.append(len(ids))
-                own.append((p, len(ws)))
                 ids += model.ids(ws)
         docs.append((ids, first))
-        pieces.append(own)
-    out = []
-    for (ids, first), own, path in zip(docs, pieces, model.decode(docs)):
-        if not ids:
-            out.append({"main": None, "confidence": 0.0, "whole": [], "segments": []})
+    paths = model.decode(docs)
+    empty = {"main": None, "confidence": 0.0, "whole": [], "segments": []}
+    live = [i for i, (ids, _) in enumerate(docs) if ids]
+    out: list[dict] = [empty] * len(texts)
+    if not live:
+        return out
+    k = len(STATES)
+    path = np.concatenate([paths[i] for i in live]).astype(np.int64)
+    rows = model.table[np.concatenate([docs[i][0] for i in live])].astype(np.float64)
+    sizes = np.array([len(docs[i][0]) for i in live])
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    begins = np.concatenate([np.array(docs[i][1]) + a for i, a in zip(live, starts)])
+    pieces = np.array([len(docs[i][1]) for i in live])
+    piece_starts = np.concatenate([[0], np.cumsum(pieces)])
+    words = np.diff(np.append(begins, len(path)))
+    piece_of = np.repeat(np.arange(len(begins)), words)
+    counts = np.bincount(piece_of * k + path, minlength=len(begins) * k).reshape(-1, k)
+    sums = np.add.reduceat(rows, begins)
+    lang = counts.argmax(1)
+    at = np.arange(len(begins))
+    rest = sums.copy()
+    rest[at, lang] = -np.inf
+    margin = sums[at, lang] - rest.max(1)
+    full = (words >= LEAST_WORDS) & (counts[at, lang] >= WHOLE * words)
+    shares = np.add.reduceat(counts, piece_starts[:-1])
+    totals = np.add.reduceat(sums, piece_starts[:-1])
+    mains = shares.argmax(1)
+    rest = totals.copy()
+    rest[np.arange(len(live)), mains] = -np.inf
+    sure = totals[np.arange(len(live)), mains] - rest.max(1)
+    for j, i in enumerate(live):
+        a, b, main = piece_starts[j], piece_starts[j + 1], mains[j]
+        own = lang[a:b]
+        if (own == main).all():
+            c = _sure(sure[j])
+            out[i] = {"main": STATES[main], "confidence": c, "whole": [STATES[main]], "segments": [(STATES[main], 0, int(b - a - 1), c)]}
             continue
-        share = np.bincount(path, minlength=len(STATES))
-        main = int(share.argmax())
-        rows = model.table[ids]
-        total = rows.sum(0)
-        rest = np.delete(total, main).max()
-        whole: dict[int, float] = {}
+        whole = {int(main)} | {int(x) for x in np.unique(own[full[a:b] & (margin[a:b] >= MARGIN)])}
         segments: list[list] = []
-        for k, (a, (p, n)) in enumerate(zip(first, own)):
-            labels = np.bincount(path[a : a + n], minlength=len(STATES))
-            lang = int(labels.argmax())
-            sums = rows[a : a + n].sum(0)
-            margin = float(sums[lang] - np.delete(sums, lang).max())
-            if segments and segments[-1][0] == lang:
-                segments[-1][2] = k
-                segments[-1][3] += margin
+        for n, (x, m) in enumerate(zip(own.tolist(), margin[a:b].tolist())):
+            if segments and segments[-1][0] == x:
+                segments[-1][2], segments[-1][3] = n, segments[-1][3] + m
             else:
-                segments.append([lang, k, k, margin])
-            if n >= LEAST_WORDS and labels[lang] >= WHOLE * n and (margin >= MARGIN or lang == main):
-                whole[lang] = max(whole.get(lang, 0.0), margin)
-        whole.setdefault(main, float(total[main] - rest))
-        out.append(
-            {
-                "main": STATES[main],
-                "confidence": _sure(float(total[main] - rest)),
-                "whole": sorted(STATES[k] for k in whole),
-                "segments": [(STATES[s[0]], s[1], s[2], _sure(s[3])) for s in segments],
-            }
-        )
+                segments.append([x, n, n, m])
+        out[i] = {
+            "main": STATES[main],
+            "confidence": _sure(sure[j]),
+            "whole": sorted(STATES[x] for x in whole),
+            "segments": [(STATES[x], f, t, _sure(m)) for x, f, t, m in segments],
+        }
     return out
 
 

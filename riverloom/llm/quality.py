@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -47,6 +48,10 @@ _VOWELS = frozenset("aeiouyáéíóúàâãäåæèêëìîïòôõöùûüýœ"
 _CLUSTER = re.compile(r"[bcdfghjklmnpqrstvwxzñç]{5,}", re.I)
 _MISSING = re.compile(r"(?<!\w)(?:n/?[ad]|s/?d)(?!\w)", re.I)
 _HEX = re.compile(r"^(?:0x)?[0-9a-f]{2}$|^[0-9a-f]{4,}$", re.I)
+_BULLETS = re.compile(_BULLET.pattern.replace(r"^\s*", r"^[ \t]*", 1), re.M)
+_LEADERS = re.compile(r"(?:\.{4}|(?:\. ){3}|…{2}|\t ?)\s*\d{1,4}[ \t]*$|;\d[^;\n]*;|\t\d[^\t\n]*\t", re.M)
+_LINE = re.compile(r"^.*\S", re.M)
+_END = re.compile(r"[.!?…:;»”\"')。！？।][ \t]*$", re.M)
 _KEYS = ("qwertyuiopasdfghjklñzxcvbnm", "mnbvcxzñlkjhgfdsapoiuytrewq")
 _LOWER_UPPER = re.compile(r"[a-z][A-Z]|[A-Za-z]\d|\d[A-Za-z]")
 
@@ -59,6 +64,7 @@ def _key_run(w: str) -> bool:
     return near >= 0.6 * (len(w) - 1)
 
 
+@lru_cache(1 << 16)
 def odd(word: str) -> bool:
     """No plausible word of a readable language."""
     w = word.lower()
@@ -76,7 +82,7 @@ def line_kind(line: str) -> str:
         return "nada"
     words = _WORD.findall(_MISSING.sub(" ", s))
     letters = sum(map(len, words))
-    digits = sum(c.isdigit() for c in s)
+    digits = sum(map(str.isdigit, s))
     dense = len(s) - s.count(" ")
     if letters + digits < (1 - LIMITS["symbols"]) * dense and not _LEADER.search(s) and "|" not in s and dense > 12:
         return "basura"
@@ -115,16 +121,13 @@ def line_kind(line: str) -> str:
     return "corta" if len(words) <= 6 else "prosa"
 
 
-def classify(text: str) -> tuple[str, str]:
-    """(kind, reason) of one text: prosa, lista, tabla or basura."""
-    flat = text.split()
-    if not flat:
+def classify(text: str, common: float, bullets: float) -> tuple[str, str]:
+    """(kind, reason) of one text from its shares of common words and of bullet lines, else by lines."""
+    if not text.strip():
         return "vacio", ""
-    common = sum(map(COMMON.__contains__, text.lower().split())) / len(flat)
+    if common >= 0.25 and bullets <= 0.3 and "|" not in text and not _LEADERS.search(text):
+        return "prosa", f"palabras comunes {common:.2f}"
     lines = text.split("\n")
-    if common >= 0.25 and not any(map(_BULLET.match, lines)) and "|" not in text and ". . ." not in text and "...." not in text and "……" not in text:
-        if len(lines) == 1 or sum(c.isdigit() for c in text) < 0.06 * len(text):
-            return "prosa", f"palabras comunes {common:.2f}"
     weight: dict[str, int] = {}
     shorts = []
     for x in lines:
@@ -164,25 +167,28 @@ def statistics(texts: list[str]) -> dict[str, list]:
     letter = ((codes | 32) >= 97) & ((codes | 32) <= 122) & (codes < 128) | (codes >= 0xC0) & ((codes < 0x2000) | (codes > 0x2BFF)) & (codes != 0xFFFD)
     dense = np.maximum(1, sizes - (add(space) - 1))
     letters = np.maximum(1, add(letter))
-    words = [t.split() for t in texts]
-    lines = [[x.strip() for x in t.split("\n") if x.strip()] for t in texts]
-    n = [len(w) for w in words]
-    ends = ".!?…:;»”\"')。！？।"
+    n = np.array([len(t.split()) for t in texts])
+    some = np.maximum(1, n)
+    lines = np.array([len(_LINE.findall(t)) for t in texts])
+    full = np.maximum(1, lines)
     return {
-        "palabras": n,
-        "largo_medio": [sum(map(len, w)) / len(w) if w else 0.0 for w in words],
+        "palabras": n.tolist(),
+        "largo_medio": (np.where(n > 0, dense, 0) / some).tolist(),
         "simbolos": ((dense - add(letter) - add(digit)) / dense).tolist(),
         "digitos": (add(digit) / dense).tolist(),
-        "lineas": [len(x) for x in lines],
-        "fin_puntuacion": [sum(y[-1] in ends for y in x) / len(x) if x else 0.0 for x in lines],
-        "vinetas": [sum(bool(_BULLET.match(y)) for y in x) / len(x) if x else 0.0 for x in lines],
-        "comunes": [sum(map(COMMON.__contains__, t.lower().split())) / len(w) if w else 0.0 for t, w in zip(texts, words)],
+        "lineas": lines.tolist(),
+        "fin_puntuacion": (np.array([len(_END.findall(t)) for t in texts]) / full).tolist(),
+        "vinetas": (np.array([len(_BULLETS.findall(t)) for t in texts]) / full).tolist(),
+        "comunes": (np.array([sum(map(COMMON.__contains__, t.lower().split())) for t in texts]) / some).tolist(),
         "mayusculas": (add(upper) / letters).tolist(),
     }
 
 
-def kinds(texts: list[str], residues: list[bool]) -> list[tuple[str, str]]:
-    return [("residuo", "residuo de plantilla") if r else classify(t) for t, r in zip(texts, residues)]
+def kinds(texts: list[str], residues: list[bool], stats: dict[str, list] | None = None) -> list[tuple[str, str]]:
+    stats = stats or statistics(texts)
+    return [
+        ("residuo", "residuo de plantilla") if r else classify(t, c, v) for t, r, c, v in zip(texts, residues, stats["comunes"], stats["vinetas"])
+    ]
 
 
 def text_statistics(fragments: DataFrame) -> DataFrame:
@@ -192,21 +198,21 @@ def text_statistics(fragments: DataFrame) -> DataFrame:
     clase, razon). ``clase`` is prosa, lista, tabla, basura, residuo (problem 2) or vacio for null and
     blank texts. Repeats of a fragment that differ in other columns give one row.
     """
-    return _with_kind(fragments, True).distinct()
+    return _with_kind(fragments).distinct()
 
 
-def _with_kind(fragments: DataFrame, full: bool) -> DataFrame:
+def _with_kind(fragments: DataFrame) -> DataFrame:
     shared = fragments.sparkSession.sparkContext.broadcast(residue.fit_residue(fragments))
 
     def run(d: dict[str, list]) -> dict[str, list]:
         texts = [t or "" for t in d["texto"]]
-        found = kinds(texts, shared.value.flags(texts))
-        out = {"chunk_id": d["chunk_id"], "clase": [k for k, _ in found], "razon": [r for _, r in found]}
-        return out | statistics(texts)
+        stats = statistics(texts)
+        found = kinds(texts, shared.value.flags(texts), stats)
+        return stats | {"chunk_id": d["chunk_id"], "clase": [k for k, _ in found], "razon": [r for _, r in found]}
 
     return map_columns(fragments, ["chunk_id", "texto"], f"chunk_id string, {STATS}, clase string, razon string", run)
 
 
 def found(fragments: DataFrame) -> DataFrame:
     """p5_found: fragments that aren't prose, with their kind -> (chunk_id, clase)."""
-    return _with_kind(fragments, False).where(F.col("clase").isin("lista", "tabla", "basura")).select("chunk_id", "clase").distinct()
+    return _with_kind(fragments).where(F.col("clase").isin("lista", "tabla", "basura")).select("chunk_id", "clase").distinct()
