@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import unicodedata
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from . import quality, residue
 from .common import map_columns, sample_texts
@@ -47,6 +48,11 @@ LEAST_WORDS, WHOLE, MARGIN = 4, 0.9, 4.0
 CAP = 5.0
 
 
+#: Words, and what ends a piece.
+TOKEN = re.compile(r"[^\W\d_]+|[.!?…](?=[\s\"»”’)\]])|[。！？]|\n\s*\n")
+
+
+@lru_cache(4096)
 def label(name: str | None) -> str | None:
     """One of the five codes for a label in any notation, else None."""
     if not name:
@@ -127,34 +133,35 @@ class LanguageModel:
         row[:] = 0.0
         return row
 
-    def ids(self, words: list[str]) -> list[int]:
+    def ids(self, tokens: list[str]) -> list[int]:
+        """Rows of the words in the score table; -1 for what ends a piece."""
         try:
-            return list(map(self.memo.__getitem__, words))
+            return list(map(self.memo.__getitem__, tokens))
         except KeyError:
-            for w in words:
+            for w in tokens:
                 if w not in self.memo:
-                    self.memo[w] = len(self.rows)
-                    self.rows.append(self.word_row(w))
-            return list(map(self.memo.__getitem__, words))
-
-    def decode(self, docs: list[tuple[list[int], list[int]]]) -> list[np.ndarray]:
-        """Viterbi labels of the words of each (word ids, first-word-of-piece offsets)."""
+                    if w[0].isalpha():
+                        self.memo[w] = len(self.rows)
+                        self.rows.append(self.word_row(w))
+                    else:
+                        self.memo[w] = -1
+            return list(map(self.memo.__getitem__, tokens))
+
+    def decode(self, words: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Viterbi labels of the words of all texts; ``first`` marks the first word of a piece, ``sizes`` are words a text."""
         if len(self.rows) != len(self.table):
             self.table = np.stack(self.rows).astype(np.float32) if self.rows else self.table
-        result: list = [np.zeros(0, np.int8)] * len(docs)
-        order = sorted(range(len(docs)), key=lambda i: len(docs[i][0]))
-        order = [i for i in order if docs[i][0]]
-        i = 0
-        while i < len(order):
+        result = np.zeros(len(words), dtype=np.int8)
+        starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        order = np.argsort(sizes, kind="stable")
+        for i in range(0, len(order), 512):
             group = order[i : i + 512]
-            i += 512
-            steps = len(docs[group[-1]][0])
-            ids = np.zeros((steps, len(group)), dtype=np.int64)
-            first = np.zeros((steps, len(group)), dtype=bool)
-            size = np.array([len(docs[g][0]) for g in group])
-            for j, g in enumerate(group):
-                ids[: size[j], j] = docs[g][0]
-                first[docs[g][1], j] = True
+            size = sizes[group]
+            steps = int(size[-1])
+            at_words = starts[group][None, :] + np.arange(steps)[:, None]
+            live_all = np.arange(steps)[:, None] < size[None, :]
+            at_words = np.where(live_all, at_words, starts[group][None, :])
+            ids, begins = words[at_words], first[at_words]
             used = np.unique(ids)
             states = len(LATIN) if self.table[used, len(LATIN) :].max() <= 0 and (self.table[used, : len(LATIN)] > -12).all() else len(STATES)
             table = self.table[:, :states]
@@ -165,7 +172,7 @@ class LanguageModel:
                 live = t < size
                 best = score.max(1)
                 came[t] = score.argmax(1)
-                jump = (best - np.where(first[t], SWITCH_SENTENCE, SWITCH))[:, None]
+                jump = (best - np.where(begins[t], SWITCH_SENTENCE, SWITCH))[:, None]
                 moved[t] = jump > score
                 score = np.where(live[:, None], np.maximum(score, jump) + table[ids[t]], score)
                 moved[t] &= live[:, None]
@@ -176,8 +183,7 @@ class LanguageModel:
                 path[t] = state
                 if t:
                     state = np.where(moved[t, at, state], came[t], state)
-            for j, g in enumerate(group):
-                result[g] = path[: size[j], j]
+            result[at_words[live_all]] = path[live_all]
         return result
 
 
@@ -185,34 +191,33 @@ def analyse(texts: list[str], model: LanguageModel) -> list[dict]:
     """Per text: ``main`` and ``confidence``, ``whole`` languages with a whole sentence, ``segments`` (language, first, last piece, confidence)."""
     if len(model.rows) > 300_000:
         model.clear()
-    docs: list[tuple[list[int], list[int]]] = []
-    for t in texts:
-        ids: list[int] = []
-        first: list[int] = []
-        for p in PIECES.split(t):
-            ws = WORD.findall(p)
-            if ws:
-                first.append(len(ids))
-                ids += model.ids(ws)
-        docs.append((ids, first))
-    paths = model.decode(docs)
-    empty = {"main": None, "confidence": 0.0, "whole": [], "segments": []}
-    live = [i for i, (ids, _) in enumerate(docs) if ids]
-    out: list[dict] = [empty] * len(texts)
-    if not live:
+    tokens = [model.ids(TOKEN.findall(t)) for t in texts]
+    out: list[dict] = [{"main": None, "confidence": 0.0, "whole": [], "segments": []}] * len(texts)
+    lengths = np.array([len(x) for x in tokens])
+    flat = np.fromiter(itertools.chain.from_iterable(tokens), dtype=np.int64, count=int(lengths.sum()))
+    word = flat >= 0
+    text_of = np.repeat(np.arange(len(texts)), lengths)[word]
+    if not len(text_of):
         return out
+    # a word begins a piece at the start of its text and after a token that ends one
+    first = np.empty(len(flat), dtype=bool)
+    first[0] = True
+    first[1:] = ~word[:-1]
+    first[np.minimum(np.concatenate([[0], np.cumsum(lengths)[:-1]]), len(flat) - 1)] = True
+    first = first[word]
+    first[np.flatnonzero(np.diff(text_of, prepend=-1))] = True
+    ids = flat[word]
+    live, sizes = np.unique(text_of, return_counts=True)
+    path = model.decode(ids, first, sizes).astype(np.int64)
     k = len(STATES)
-    path = np.concatenate([paths[i] for i in live]).astype(np.int64)
-    rows = model.table[np.concatenate([docs[i][0] for i in live])].astype(np.float64)
-    sizes = np.array([len(docs[i][0]) for i in live])
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    begins = np.concatenate([np.array(docs[i][1]) + a for i, a in zip(live, starts)])
-    pieces = np.array([len(docs[i][1]) for i in live])
+    rows = model.table[ids]
+    begins = np.flatnonzero(first)
+    pieces = np.bincount(np.searchsorted(live, text_of[begins]), minlength=len(live))
     piece_starts = np.concatenate([[0], np.cumsum(pieces)])
     words = np.diff(np.append(begins, len(path)))
     piece_of = np.repeat(np.arange(len(begins)), words)
     counts = np.bincount(piece_of * k + path, minlength=len(begins) * k).reshape(-1, k)
-    sums = np.add.reduceat(rows, begins)
+    sums = np.add.reduceat(rows, begins).astype(np.float64)
     lang = counts.argmax(1)
     at = np.arange(len(begins))
     rest = sums.copy()
@@ -225,7 +230,7 @@ def analyse(texts: list[str], model: LanguageModel) -> list[dict]:
     rest = totals.copy()
     rest[np.arange(len(live)), mains] = -np.inf
     sure = totals[np.arange(len(live)), mains] - rest.max(1)
-    for j, i in enumerate(live):
+    for j, i in enumerate(live.tolist()):
         a, b, main = piece_starts[j], piece_starts[j + 1], mains[j]
         own = lang[a:b]
         if (own == main).all():
@@ -260,6 +265,13 @@ def _models(fragments: DataFrame, sample: int):
 RESULT = "chunk_id string, etiqueta string, idioma string, confianza double, idiomas array<string>, tramos array<struct<idioma:string,desde:int,hasta:int,confianza:double>>, excluido boolean"
 
 
+def _judge(d: dict[str, list], words: LanguageModel, res: residue.ResidueModel) -> tuple[list[bool], list[dict]]:
+    """Which fragments aren't natural text, and what the others are written in."""
+    texts = [t or "" for t in d["texto"]]
+    skip = [k != "prosa" for k, _ in quality.kinds(texts, res.flags(texts))]
+    return skip, analyse(["" if s else t for t, s in zip(texts, skip)], words)
+
+
 def languages(fragments: DataFrame, sample: int = 3000) -> DataFrame:
     """Language of every fragment and of its stretches.
 
@@ -272,11 +284,7 @@ def languages(fragments: DataFrame, sample: int = 3000) -> DataFrame:
     shared = _models(fragments, sample)
 
     def run(d: dict[str, list]) -> dict[str, list]:
-        words, res = shared.value
-        texts = [t or "" for t in d["texto"]]
-        kinds = quality.kinds(texts, res.flags(texts))
-        skip = [k != "prosa" for k, _ in kinds]
-        found = analyse(["" if s else t for t, s in zip(texts, skip)], words)
+        skip, found = _judge(d, *shared.value)
         return {
             "chunk_id": d["chunk_id"],
             "etiqueta": [label(x) for x in d["idioma"]],
@@ -290,12 +298,23 @@ def languages(fragments: DataFrame, sample: int = 3000) -> DataFrame:
     return map_columns(fragments, ["chunk_id", "texto", "idioma"], RESULT, run)
 
 
-def found(fragments: DataFrame) -> DataFrame:
+def found(fragments: DataFrame, sample: int = 3000) -> DataFrame:
     """p1_found: (chunk_id, idioma) for each language with a whole sentence in a case.
 
     A fragment is a case if its label names none of the five languages or another than the main one,
     or if several languages have whole sentences. Repeats give one row each; a text without words is no case.
     """
-    r = languages(fragments).where(~F.col("excluido") & F.col("idioma").isNotNull())
-    wrong = F.col("etiqueta").isNull() | (F.col("etiqueta") != F.col("idioma")) | (F.size("idiomas") > 1)
-    return r.where(wrong).select("chunk_id", F.explode("idiomas").alias("idioma")).where(F.col("idioma").isin(*LATIN)).distinct()
+    shared = _models(fragments, sample)
+
+    def run(d: dict[str, list]) -> dict[str, list]:
+        skip, found = _judge(d, *shared.value)
+        out: dict[str, list] = {"chunk_id": [], "idioma": []}
+        for i, name, s, f in zip(d["chunk_id"], d["idioma"], skip, found):
+            if not s and f["main"] and (len(f["whole"]) > 1 or label(name) != f["main"]):
+                for k in f["whole"]:
+                    if k in LATIN:
+                        out["chunk_id"].append(i)
+                        out["idioma"].append(k)
+        return out
+
+    return map_columns(fragments, ["chunk_id", "texto", "idioma"], "chunk_id string, idioma string", run).distinct()

@@ -80,6 +80,12 @@ def line_kind(line: str) -> str:
     s = line.strip()
     if not s:
         return "nada"
+    if _BULLET.match(line):
+        parts = s.split()
+        return "prosa" if len(parts) > 15 and sum(w.lower() in COMMON for w in parts) >= LIMITS["common_words"] * len(parts) else "lista"
+    for mark in "|;\t":
+        if s.count(mark) >= 3 and sum(map(str.isdigit, s)) >= LIMITS["digits_line"] * len(s) and not _LEADER.search(s):
+            return "tabla"
     words = _WORD.findall(_MISSING.sub(" ", s))
     letters = sum(map(len, words))
     digits = sum(map(str.isdigit, s))
@@ -94,9 +100,6 @@ def line_kind(line: str) -> str:
     if max(map(len, s.split())) > 40 and _LOWER_UPPER.search(s):
         return "basura"
     common = sum(w.lower() in COMMON for w in words) / max(1, len(words))
-    if _BULLET.match(line):
-        body = _WORD.findall(s)
-        return "prosa" if len(body) > 14 and common >= LIMITS["common_words"] else "lista"
     if _LEADER.search(s) and not _CELLS.search(_LEADER.sub("", s)):
         return "lista"
     if len(words) > 3 and sum(map(odd, words)) > LIMITS["odd_words"] * len(words):
@@ -184,8 +187,16 @@ def statistics(texts: list[str]) -> dict[str, list]:
     }
 
 
+def _shares(texts: list[str]) -> dict[str, list]:
+    """The two statistics that most texts are decided by."""
+    return {
+        "comunes": [sum(map(COMMON.__contains__, w)) / (len(w) or 1) for w in (t.lower().split() for t in texts)],
+        "vinetas": [len(_BULLETS.findall(t)) / (len(_LINE.findall(t)) or 1) if "\n" in t else float(bool(_BULLET.match(t))) for t in texts],
+    }
+
+
 def kinds(texts: list[str], residues: list[bool], stats: dict[str, list] | None = None) -> list[tuple[str, str]]:
-    stats = stats or statistics(texts)
+    stats = stats or _shares(texts)
     return [
         ("residuo", "residuo de plantilla") if r else classify(t, c, v) for t, r, c, v in zip(texts, residues, stats["comunes"], stats["vinetas"])
     ]
