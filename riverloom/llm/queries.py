@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import load
-from . import encoding, language, quality, residue, sentences, tokens
+from . import encoding, language, leaks, quality, residue, sentences, tokens
 
 
 def queries():
@@ -17,6 +17,8 @@ def queries():
         "p5_statistics": lambda s, d: quality.text_statistics(load(s, d, "metadata")),
         "p6_found": lambda s, d: tokens.unusable_counts(load(s, d, "metadata")),
         "p7_ids": lambda s, d: tokens.encode_corpus(load(s, d, "documents")),
+        "p8_found": lambda s, d: leaks.found(load(s, d, "documents"), load(s, d, "evaluacion")),
+        "p8_documents": lambda s, d: leaks.leaked_documents(load(s, d, "documents"), load(s, d, "evaluacion")),
         "p9_found": lambda s, d: sentences.sentence_units(load(s, d, "documents")),
         "p7_decoded": lambda s, d: tokens.decode_corpus(tokens.encode_corpus(load(s, d, "documents"))),
     }
