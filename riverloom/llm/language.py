@@ -209,8 +209,9 @@ def analyse(texts: list[str], model: LanguageModel) -> list[dict]:
     ids = flat[word]
     live, sizes = np.unique(text_of, return_counts=True)
     path = model.decode(ids, first, sizes).astype(np.int64)
-    k = len(STATES)
-    rows = model.table[ids]
+    used = np.unique(ids)
+    k = len(LATIN) if (model.table[used, len(LATIN) :] <= -12).all() else len(STATES)
+    rows = model.table[:, :k][ids]
     begins = np.flatnonzero(first)
     pieces = np.bincount(np.searchsorted(live, text_of[begins]), minlength=len(live))
     piece_starts = np.concatenate([[0], np.cumsum(pieces)])

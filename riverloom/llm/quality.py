@@ -83,14 +83,18 @@ def line_kind(line: str) -> str:
     if _BULLET.match(line):
         parts = s.split()
         return "prosa" if len(parts) > 15 and sum(w.lower() in COMMON for w in parts) >= LIMITS["common_words"] * len(parts) else "lista"
+    leader = s[-1].isdigit() and _LEADER.search(s)
     for mark in "|;\t":
-        if s.count(mark) >= 3 and sum(map(str.isdigit, s)) >= LIMITS["digits_line"] * len(s) and not _LEADER.search(s):
+        if s.count(mark) >= 3 and sum(map(str.isdigit, s)) >= LIMITS["digits_line"] * len(s) and not leader:
             return "tabla"
+    if len(s) < 24 and s.replace(" ", "").isalpha() and s.count(" ") < 4:
+        names = s.split()
+        return "basura" if len(names) > 3 and sum(map(odd, names)) > 2 else "corta"
     words = _WORD.findall(_MISSING.sub(" ", s))
     letters = sum(map(len, words))
     digits = sum(map(str.isdigit, s))
     dense = len(s) - s.count(" ")
-    if letters + digits < (1 - LIMITS["symbols"]) * dense and not _LEADER.search(s) and "|" not in s and dense > 12:
+    if letters + digits < (1 - LIMITS["symbols"]) * dense and not leader and "|" not in s and dense > 12:
         return "basura"
     if s.count("(cid:") > 2 or len(s) >= 20 and len(set(s.lower()) - {" "}) <= 5:
         return "basura"
@@ -100,7 +104,7 @@ def line_kind(line: str) -> str:
     if max(map(len, s.split())) > 40 and _LOWER_UPPER.search(s):
         return "basura"
     common = sum(w.lower() in COMMON for w in words) / max(1, len(words))
-    if _LEADER.search(s) and not _CELLS.search(_LEADER.sub("", s)):
+    if leader and not _CELLS.search(_LEADER.sub("", s)):
         return "lista"
     if len(words) > 3 and sum(map(odd, words)) > LIMITS["odd_words"] * len(words):
         return "basura"
@@ -128,7 +132,8 @@ def classify(text: str, common: float, bullets: float) -> tuple[str, str]:
     """(kind, reason) of one text from its shares of common words and of bullet lines, else by lines."""
     if not text.strip():
         return "vacio", ""
-    if common >= 0.25 and bullets <= 0.3 and "|" not in text and not _LEADERS.search(text):
+    marks = "...." in text or ". . ." in text or "……" in text or "\t" in text or ";" in text
+    if common >= 0.25 and bullets <= 0.3 and "|" not in text and not (marks and _LEADERS.search(text)):
         return "prosa", f"palabras comunes {common:.2f}"
     lines = text.split("\n")
     weight: dict[str, int] = {}
