@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import load
-from . import encoding, language, leaks, quality, residue, sentences, tokens
+from . import encoding, language, leaks, quality, residue, scans, sentences, tokens
 
 
 def queries():
@@ -11,6 +11,8 @@ def queries():
         "p1_found": lambda s, d: language.found(load(s, d, "metadata")),
         "p1_languages": lambda s, d: language.languages(load(s, d, "metadata")).distinct(),
         "p2_found": lambda s, d: residue.found(load(s, d, "metadata")),
+        "p3_found": lambda s, d: scans.found(load(s, d, "metadata")),
+        "p3_repaired": lambda s, d: scans.repaired(load(s, d, "metadata")),
         "p4_found": lambda s, d: encoding.found(load(s, d, "metadata")),
         "p4_repairs": lambda s, d: encoding.repairs(load(s, d, "metadata")).distinct(),
         "p5_found": lambda s, d: quality.found(load(s, d, "metadata")),
