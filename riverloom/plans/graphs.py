@@ -165,7 +165,7 @@ QUERIES = {
         rf"""with n as (select distinct query_id, unnest(regexp_extract_all(consulta, '\p{{Lu}}\p{{L}}{{2,}}(?: \p{{Lu}}\p{{L}}{{2,}}){{0,3}}')) as entidad from consultas),
         e as (select query_id, entidad, lower(trim(regexp_replace(case when x = '' then entidad else x end, '\s+', ' ', 'g'))) as id from (select *, regexp_replace(entidad, '^(?i)((el|la|los|las|un|una|unos|unas|the|a|an)(\s+|$))+', '') as x from n)),
         ex as (select query_id, entidad, node_id from e join nodos on node_id = id),
-        rest as (select * from e where length(id) >= 3 and (query_id, entidad) not in (select (query_id, entidad) from ex))
+        rest as (select * from e where length(id) >= 3 and (query_id, entidad) not in (select (query_id, entidad) from ex)),
         cand as materialized (select query_id, entidad, id, node_id from rest join nodos on length(node_id) >= 3 and (contains(node_id, id) or contains(id, node_id)))
         select distinct * from (select * from ex union all select query_id, entidad, node_id from cand where
           regexp_matches(node_id, '(?:^|[^\p{{L}}\p{{N}}_])' || regexp_escape(id) || '(?:$|[^\p{{L}}\p{{N}}_])') or regexp_matches(id, '(?:^|[^\p{{L}}\p{{N}}_])' || regexp_escape(node_id) || '(?:$|[^\p{{L}}\p{{N}}_])'))""",

@@ -31,7 +31,7 @@ def self_retrieval(s, d):
 
 
 def l2_normalize(s, d):
-    u = V.unit(F.transform(F.col("embedding"), lambda x: x * 3))
+    u = V.unit(F.transform(F.col("embedding"), lambda x: x * 2))
     return _e(s, d).select("vec_id", F.round(F.get(u, F.lit(0)), 6).alias("x0"), F.round(V.norm(u), 6).alias("norma"), (V.max_error(u, F.col("embedding")) < 1e-5).alias("igual"))
 
 
@@ -70,9 +70,9 @@ QUERIES = {
     ),
     "l2_normalize": (
         l2_normalize,
-        """with n as (select vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: (3 * x)::double * (3 * x)::double))) as n from embeddings)
-        select vec_id, round((3 * embedding[1])::double / n, 6) as x0, round(sqrt(list_sum(list_transform(embedding, lambda x: ((3 * x)::double / n) * ((3 * x)::double / n)))), 6) as norma,
-        list_max(list_transform(embedding, lambda x: abs((3 * x)::double / n - x::double))) < 1e-5 as igual from n""",
+        """with n as (select vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: (2 * x)::double * (2 * x)::double))) as n from embeddings)
+        select vec_id, round((2 * embedding[1])::double / n, 6) as x0, round(sqrt(list_sum(list_transform(embedding, lambda x: ((2 * x)::double / n) * ((2 * x)::double / n)))), 6) as norma,
+        list_max(list_transform(embedding, lambda x: abs((2 * x)::double / n - x::double))) < 1e-5 as igual from n""",
     ),
     "unit_norm_check": (
         unit_norm_check,
