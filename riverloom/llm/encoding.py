@@ -27,7 +27,7 @@ LOST = "�"
 @lru_cache(1 << 16)
 def cost(token: str) -> float:
     """Implausibility of a token: 0 for ASCII, little for the languages' own letters in place, much for the rest."""
-    total = 0.0
+    total = 4.0 * len(_ESCAPES.findall(token)) if not token.isalnum() else 0.0
     n = len(token)
     for i, c in enumerate(token):
         o = ord(c)
@@ -78,9 +78,10 @@ def cost(token: str) -> float:
 # operations
 
 _CHARSETS = ("cp1252", "latin-1", "cp437", "cp850", "mac_roman", "cp1251", "iso8859_15")
-_ENTITY = re.compile(r"&(?:#\d{2,5}|#x[0-9a-fA-F]{2,5}|[a-zA-Z]{2,8});")
-_PERCENT = re.compile(r"(?:%[89A-Fa-f][0-9A-Fa-f]){1,}")
-_QUOTED = re.compile(r"(?:=[89A-F][0-9A-F])+")
+_LETTER_ENTITY = r"&(?:#(?:1[6-9]\d|[2-9]\d\d|\d{4,5})|#x(?:[a-fA-F][0-9a-fA-F]|[0-9a-fA-F]{3,5})|[a-zA-Z]{1,2}(?:acute|grave|circ|tilde|uml|cedil|ring|slash|lig));"
+_ENTITY = re.compile(_LETTER_ENTITY)
+_PERCENT = re.compile(r"(?:%[89A-Fa-f][0-9A-Fa-f]){2,}")
+_QUOTED = re.compile(r"(?:=[89A-F][0-9A-F]){2,}")
 _ESCAPE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([89a-fA-F][0-9a-fA-F])")
 
 
@@ -108,7 +109,7 @@ def _encode(s: str, charset: str) -> bytes | None:
 
 def neighbours(s: str):
     """(operation, string) reachable by one encode-decode or unescape step."""
-    if _ENTITY.search(s) and (u := html.unescape(s)) != s:
+    if _ENTITY.search(s) and (u := _ENTITY.sub(lambda m: html.unescape(m[0]), s)) != s:
         yield "html", u
     if m := _ESCAPE.search(s):
         u = _ESCAPE.sub(lambda m: chr(int(m[1] or m[2], 16)), s)
@@ -177,7 +178,7 @@ def search(token: str, most: int = 200) -> tuple[str, tuple[str, ...]]:
 # ---------------------------------------------------------------------------------------------
 # texts
 
-_MARKUP = r"&#?\w{2,8};|%[89A-Fa-f][0-9A-Fa-f]|=[89A-F][0-9A-F]|\\u[0-9a-fA-F]{4}|\\x[89a-fA-F]"
+_MARKUP = _LETTER_ENTITY + r"|(?:%[89A-Fa-f][0-9A-Fa-f]){2}|(?:=[89A-F][0-9A-F]){2}|\\u[0-9a-fA-F]{4}|\\x[89a-fA-F]"
 _ESCAPES = re.compile(_MARKUP)
 _ODD = re.compile(rf"[^ \n\r\t]*?(?:[^\x00-\x7f]|{_MARKUP})[^ \n\r\t]*")
 _FILE_ODD = re.compile(rf"[^ \n\r\t_/]*?(?:[^\x00-\x7f]|{_MARKUP})[^ \n\r\t_/]*")

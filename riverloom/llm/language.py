@@ -73,20 +73,33 @@ class LanguageModel:
         counts = {k: Counter({w: 3 for w in seeds[k]}) for k in LATIN}
         grams = {k: Counter() for k in LATIN}
         for t in texts:
+            open_: list[list[str]] = []
+            decided: set[str] = set()
             for p in _pieces(t):
                 ws = [w.lower() for w in WORD.findall(p)]
                 votes = {k: sum(w in seeds[k] and 1.0 / sum(w in s for s in seeds.values()) for w in ws) for k in LATIN}
                 order = sorted(votes.values(), reverse=True)
                 if len(ws) >= 4 and order[0] >= 0.15 * len(ws) and order[0] > 1.5 * order[1]:
                     best = max(votes, key=votes.get)
-                    counts[best].update(ws)
-                    for w in ws:
-                        v = f" {w} "
-                        grams[best].update(v[i : i + 3] for i in range(len(v) - 2))
+                    decided.add(best)
+                    self._count(ws, counts[best], grams[best])
+                elif len(ws) >= 4:
+                    open_.append(ws)
+            if len(decided) == 1:  # the other pieces go with the text's only language
+                best = decided.pop()
+                for ws in open_:
+                    self._count(ws, counts[best], grams[best])
         self.rates = {k: {w: 1e4 * n / max(2000, sum(c.values())) for w, n in c.items()} for k, c in counts.items()}
         self.grams = {k: {g: 1e4 * n / max(8000, sum(c.values())) for g, n in c.items()} for k, c in grams.items()}
         self.clear()
 
+    @staticmethod
+    def _count(ws: list[str], words: Counter, grams: Counter) -> None:
+        words.update(ws)
+        for w in ws:
+            v = f" {w} "
+            grams.update(v[i : i + 3] for i in range(len(v) - 2))
+
     def clear(self) -> None:
         """Forget the words seen, which changes no score."""
         self.memo: dict[str, int] = {}

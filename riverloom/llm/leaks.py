@@ -112,8 +112,8 @@ def _batches(batches: Iterator[pa.RecordBatch], column: int):
         yield [w for w in (words(t) for t in b.column(column).to_pylist() if t) if w]
 
 
-def _sum_blocks(parts: DataFrame) -> np.ndarray:
-    """Add up matrices that come as blocks of rows, in two rounds, so that no task gets them all."""
+def _sum_blocks(parts: DataFrame, size: int) -> np.ndarray:
+    """Add up matrices of ``size`` numbers that come as blocks of rows, in two rounds, so that no task gets them all."""
     import pandas as pd
 
     def add(key, pdf):
@@ -125,6 +125,8 @@ def _sum_blocks(parts: DataFrame) -> np.ndarray:
     schema = "block int, salt int, part binary"
     once = parts.groupBy("block", "salt").applyInPandas(add, schema)
     rows = once.groupBy("block").applyInPandas(add, schema).collect()
+    if not rows:  # no partition had a row
+        return np.zeros(size, dtype=np.float32)
     return np.concatenate([np.frombuffer(r.part, dtype=np.float32) for r in sorted(rows, key=lambda r: r.block)])
 
 
@@ -154,7 +156,7 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
                 total[np.unique(v.ids(ws))] += 1
         yield _blocks_of(total, _salt())
 
-    return _sum_blocks(texts.mapInArrow(run, _PARTS))
+    return _sum_blocks(texts.mapInArrow(run, _PARTS), TERMS)
 
 
 def latent_space(texts: DataFrame, own: list[list[str]], turns: int = 2, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +183,7 @@ def latent_space(texts: DataFrame, own: list[list[str]], turns: int = 2, seed: i
                     _gram(np.concatenate([t for t, _ in got]), np.concatenate([w for _, w in got]), q, total)
             yield _blocks_of(total, _salt())
 
-        y = _sum_blocks(texts.mapInArrow(run, _PARTS)).reshape(TERMS, RANK).astype(np.float64)
+        y = _sum_blocks(texts.mapInArrow(run, _PARTS), TERMS * RANK).reshape(TERMS, RANK).astype(np.float64)
         e = np.zeros((TERMS, RANK), dtype=np.float32)
         for t, w in mine:
             _gram(t, w, q, e)

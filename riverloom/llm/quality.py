@@ -83,20 +83,22 @@ def line_kind(line: str) -> str:
     if _BULLET.match(line):
         parts = s.split()
         return "prosa" if len(parts) > 15 and sum(w.lower() in COMMON for w in parts) >= LIMITS["common_words"] * len(parts) else "lista"
+    if len(s) >= 20 and len(set(s.lower()) - {" "}) <= 5:
+        return "basura"
+    if len(s) < 24 and s.replace(" ", "").isalpha() and s.count(" ") < 4:
+        names = s.split()
+        return "basura" if len(names) > 3 and sum(map(odd, names)) > 2 else "corta"
     leader = s[-1].isdigit() and _LEADER.search(s)
     for mark in "|;\t":
         if s.count(mark) >= 3 and sum(map(str.isdigit, s)) >= LIMITS["digits_line"] * len(s) and not leader:
             return "tabla"
-    if len(s) < 24 and s.replace(" ", "").isalpha() and s.count(" ") < 4:
-        names = s.split()
-        return "basura" if len(names) > 3 and sum(map(odd, names)) > 2 else "corta"
     words = _WORD.findall(_MISSING.sub(" ", s))
     letters = sum(map(len, words))
     digits = sum(map(str.isdigit, s))
     dense = len(s) - s.count(" ")
     if letters + digits < (1 - LIMITS["symbols"]) * dense and not leader and "|" not in s and dense > 12:
         return "basura"
-    if s.count("(cid:") > 2 or len(s) >= 20 and len(set(s.lower()) - {" "}) <= 5:
+    if s.count("(cid:") > 2:
         return "basura"
     tokens = s.split()
     if len(tokens) >= 8 and sum(bool(_HEX.match(t)) for t in tokens) >= 0.8 * len(tokens) and re.search("[a-fA-F]", s):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import load
-from . import encoding, language, leaks, quality, residue, scans, sentences, tokens
+from . import budget, encoding, language, leaks, quality, residue, scans, sentences, tokens
 
 
 def queries():
@@ -18,6 +18,8 @@ def queries():
         "p5_found": lambda s, d: quality.found(load(s, d, "metadata")),
         "p5_statistics": lambda s, d: quality.text_statistics(load(s, d, "metadata")),
         "p6_found": lambda s, d: tokens.unusable_counts(load(s, d, "metadata")),
+        "p6_estimates": lambda s, d: tokens.token_estimates(load(s, d, "metadata")),
+        "p6_totals": lambda s, d: budget.totals(load(s, d, "metadata")),
         "p7_ids": lambda s, d: tokens.encode_corpus(load(s, d, "documents")),
         "p8_found": lambda s, d: leaks.found(load(s, d, "documents"), load(s, d, "evaluacion")),
         "p8_documents": lambda s, d: leaks.leaked_documents(load(s, d, "documents"), load(s, d, "evaluacion")),

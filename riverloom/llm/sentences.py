@@ -103,7 +103,7 @@ def candidates(text: str) -> list[tuple[int, list[str], bool]]:
                 continue  # the mark before is the candidate
             line = _LINE_START.search(text, max(0, s - 200), s)[0].strip()
             words = line.split()
-            if text[e].islower() or len(line) > 60:  # a line break inside a sentence
+            if text[e].islower() or len(line) > 60 and text[s - 1] < "\u0e00":  # a line break inside a sentence
                 continue
             first = words[0].lower() if words else ""
             nxt = _kind(text[e])
@@ -116,7 +116,7 @@ def candidates(text: str) -> list[tuple[int, list[str], bool]]:
             caps = sum(w[:1].isupper() for w in words)
             names = "all" if words and caps >= len(words) - 1 and len(words) > 1 else "some" if caps > 1 else "first" if words and words[0][:1].isupper() else "no"
             begin = "start" if out and _SPACE.match(text, out[-1][0]).end() >= s - len(line) - 1 or not text[: s - len(line)].strip() else "mid"
-            f = [f"n:{nxt}", f"n:{size}", f"n:{size}:{begin}", f"n:{size}:{nxt}:{begin}", f"n:last{lastk}:{begin}", f"n:w{min(len(words), 6)}:{begin}:{nxt}", f"n:first={first}:{begin}", f"n:{names}:{size}:{begin}"]
+            f = [f"n:{nxt}", f"n:{_kind(text[s - 1])}>{nxt}", f"n:{_kind(text[s - 1])}>{nxt}:{size}", f"n:{size}", f"n:{size}:{begin}", f"n:{size}:{nxt}:{begin}", f"n:last{lastk}:{begin}", f"n:w{min(len(words), 6)}:{begin}:{nxt}", f"n:first={first}:{begin}", f"n:{names}:{size}:{begin}"]
             if len(words) > 1:
                 f.append(f"n:lastword={words[-1].lower()}")
             if re.match(r"^\w+ \d+ ?:|^\w+ \d+$|^第?\d+\w", line):
@@ -323,12 +323,12 @@ def _wrap(s: str, width: int, rng: random.Random) -> str:
     return "".join(out)
 
 
-def training(count: int = 6000, seed: int = 11) -> list[tuple[str, set[int]]]:
+def training(count: int = 8000, seed: int = 11) -> list[tuple[str, set[int]]]:
     """Texts put together from known units: other spacing, wrapped lines, headings, missing marks, missing spaces."""
     rng = random.Random(seed)
     pools = {k: [x for line in v.split("\n") for x in line.split("|")] for k, v in _SENTENCES.items()}
     heads = {k: v.split("|") for k, v in _HEADINGS.items()}
-    weights = {"es": 3, "en": 3, "th": 3, "de": 3, "zh": 3, "ja": 2}
+    weights = {"es": 4, "en": 3.5, "th": 4, "de": 3, "zh": 3, "ja": 2}
     out = []
     for _ in range(count):
         lang = rng.choices(list(pools), [weights.get(k, 1.5) for k in pools])[0]
@@ -337,7 +337,7 @@ def training(count: int = 6000, seed: int = 11) -> list[tuple[str, set[int]]]:
         k = rng.randint(3, 9)
         width = rng.randint(48, 76)
         for j in range(k):
-            if rng.random() < 0.18:
+            if rng.random() < 0.45 and (not text or text.endswith("\n")):
                 text += rng.choice(heads[lang])
                 ends.add(len(text))
                 text += rng.choice(["\n", "\n\n", "\n\n", "\r\n"])
@@ -356,7 +356,7 @@ def training(count: int = 6000, seed: int = 11) -> list[tuple[str, set[int]]]:
                 s = s.replace("…", "...")
             if rng.random() < 0.2:
                 s = s.replace("«", "“").replace("»", "”") if rng.random() < 0.5 else s.replace("“", '"').replace("”", '"').replace("„", '"')
-            joiner = rng.choices([" ", "  ", "\n", "\n\n", ""], [60, 6, 10, 18, 6])[0]
+            joiner = rng.choices([" ", "  ", "\n", "\n\n", ""], [56, 6, 11, 17, 10])[0]
             last = j == k - 1
             if (joiner == "\n\n" or last) and rng.random() < 0.15:
                 s = _strip_mark(s)
