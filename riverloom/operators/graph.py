@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import GRAPH, STOPWORDS, Graph
 from ..functions import text as T
+from ..session import small
 
 #: X2, offline recogniser: runs of capitalised words.
 NAME = r"\p{Lu}\p{L}{2,}(?: \p{Lu}\p{L}{2,}){0,3}"
@@ -118,7 +119,7 @@ def phrase_nodes(queries: DataFrame, node_table: DataFrame, cfg: Graph = GRAPH,
     short = g.join(n.where(F.size("t") <= longest), "frase").select("query_id", "node_id")
     pad = lambda c: F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" "))
     far = n.where(F.size("t") > longest).select("node_id", pad("t").alias("p"))
-    long_ = F.broadcast(q.select("query_id", pad("t").alias("pq"))).join(far, F.col("pq").contains(F.col("p"))).select("query_id", "node_id")
+    long_ = small(q.select("query_id", pad("t").alias("pq"))).join(far, F.col("pq").contains(F.col("p"))).select("query_id", "node_id")
     return short.unionAll(long_).distinct()
 
 
@@ -130,7 +131,7 @@ def entity_nodes(entities: DataFrame, node_table: DataFrame, cfg: Graph = GRAPH)
     rest = e.join(exact.select("query_id", "entidad"), ["query_id", "entidad"], "left_anti").where(F.length("id") >= cfg.min_node)
     a, b = F.col("node_id"), F.col("id")
     near: Column = a.contains(b) & T.contains_phrase(a, b) | b.contains(a) & T.contains_phrase(b, a)
-    loose = F.broadcast(rest).join(n.where(F.length("node_id") >= cfg.min_node), near).select("query_id", "entidad", "node_id")
+    loose = small(rest).join(n.where(F.length("node_id") >= cfg.min_node), near).select("query_id", "entidad", "node_id")
     return exact.unionByName(loose)
 
 

@@ -76,7 +76,7 @@ def deduplicated(rows: DataFrame, source: str = "ruta") -> DataFrame:
 def tile_identity(rows: DataFrame, inventory: DataFrame) -> DataFrame:
     """Document and source of a tile from the inventory (clave, doc_id, fuente), else from its path, else dropped."""
     key = F.concat_ws("/", "zoom", "tile_x", T.basename(F.col("ruta")))
-    r = rows.withColumn("clave", key).join(F.broadcast(inventory.dropDuplicates(["clave"])), "clave", "left")
+    r = rows.withColumn("clave", key).join(inventory.groupBy("clave").agg(F.max_by("doc_id", "fuente").alias("doc_id"), F.max("fuente").alias("fuente")), "clave", "left")
     parsed = F.regexp_extract("ruta", r"(\d+)/(\d+)/[^/]*?(\d+)[^/]*$", 0)
     made = F.when(parsed != "", F.concat(F.lit("tesela_"), F.regexp_replace(F.regexp_replace(parsed, r"\.[^.]*$", ""), "/", "_")))
     return r.withColumns({"doc_id": F.coalesce("doc_id", made), "fuente": F.coalesce("fuente", F.col("ruta"))}).where("doc_id is not null")

@@ -57,9 +57,9 @@ def direct_evidence(s, d):
     return G.direct(_entities(s, d), m).select("query_id", "chunk_id", F.round("suma", 5).alias("suma"), "nodos")
 
 
-def _near(s, d):
+def _near(s, d, entities=None):
     w = G.node_weights(G.mentions_of(load(s, d, "nodos")), _total(s, d))
-    return G.neighbours(_entities(s, d), load(s, d, "aristas"), w)
+    return G.neighbours(_entities(s, d) if entities is None else entities, load(s, d, "aristas"), w)
 
 
 def neighbor_topk(s, d):
@@ -68,7 +68,8 @@ def neighbor_topk(s, d):
 
 def graph_evidence(s, d):
     m = G.mentions_of(load(s, d, "nodos"))
-    e = G.evidence(_entities(s, d), m, _near(s, d), load(s, d, "metadata"))
+    entities = _entities(s, d).persist()  # a few rows for each question, read twice
+    e = G.evidence(entities, m, _near(s, d, entities), load(s, d, "metadata"))
     return e.select("query_id", "chunk_id", F.round("score", 5).alias("score"))
 
 

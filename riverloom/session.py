@@ -28,3 +28,13 @@ def ship(spark: SparkSession) -> None:
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def small(df: DataFrame, most: int = 50_000) -> DataFrame:
+    """``df`` with a broadcast hint where it has at most ``most`` rows; beyond that Spark joins it by shuffle or in blocks.
+
+    For question sets and lookups whose size nothing else bounds: the count stops after ``most`` rows.
+    """
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
