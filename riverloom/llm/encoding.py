@@ -184,9 +184,11 @@ _ODD = re.compile(rf"[^ \n\r\t]*?(?:[^\x00-\x7f]|{_MARKUP})[^ \n\r\t]*")
 _FILE_ODD = re.compile(rf"[^ \n\r\t_/]*?(?:[^\x00-\x7f]|{_MARKUP})[^ \n\r\t_/]*")
 _GAP, _FILE_GAP = re.compile(r"[ \n\r\t]+"), re.compile(r"[ \n\r\t_/]+")
 _SYMBOLS = re.compile(r"[#~=+<>^|*_/\\□■◊§¶†‡]")
-_SUSPECT = re.compile(rf"[^\x00-\x7f]|[^\W\d_]\?+[^\W\d_]|{_MARKUP}")
+_SUSPECT = re.compile(rf"[^\x00-\x7f]|[^\W\d_]\?+[^\W\d_.]|[^\W\d_]\? [a-z]|[\s:(]\?\w|{_MARKUP}")
 _FILE_HOLE = re.compile(r"\?")
 _HOLE = re.compile(r"(?<![/=&\w.-])[^\W\d_]*(?:[^\W\d_]\?+[^\W\d_]+)+(?![=\w])")
+_STOPPED = re.compile(r"[^\W\d_]\?\.(?!\.)|(?<=[\s:(])\?(?=[^\W\d_]{2})")
+_WITHIN = re.compile(r"[^\W\d_]\? (?=[a-zà-ÿ])")
 _EDGE = re.compile(r"(?<![\w?])\?(?=[^\W\d_])|(?<=[^\W\d_])\?(?= [a-zà-ÿ])")
 
 
@@ -245,8 +247,13 @@ def analyse(text: str, file: bool = False) -> tuple[str, str, list[str]] | None:
 
 
 def _holes(text: str) -> bool:
-    """Question marks in the place of letters. A single one after a whole word may just lack its space."""
-    holes = [h for h in _HOLE.findall(text)]
+    """Question marks in the place of letters. A single one after a whole word may just lack its space.
+
+    A mark before a full stop, or before a small letter with no question open, closes nothing.
+    """
+    if "???" not in text and (_STOPPED.search(text) or "¿" not in text and _WITHIN.search(text)):
+        return True
+    holes = _HOLE.findall(text)
     if len(holes) == 1 and text.count("?") == 1:
         return not holes[0].split("?")[1][:1].isupper()
     return bool(holes) or len(_EDGE.findall(text)) >= 2
