@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..schemas import MANDATORY
+from .ranking import numbered
 
 
 def latest(fragments: DataFrame) -> DataFrame:
@@ -25,9 +26,8 @@ def union_partitions(*parts: DataFrame) -> DataFrame:
 
 
 def positions(fragments: DataFrame, *order: str) -> DataFrame:
-    """Running number from 0 within each document."""
-    w = Window.partitionBy("doc_id").orderBy(*order)
-    return fragments.withColumn("nueva_posicion", (F.row_number().over(w) - 1).cast("bigint"))
+    """Running number from 0 within each document, whatever its size."""
+    return numbered(fragments, "doc_id", list(order), "nueva_posicion")
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame, key: str = "chunk_id") -> DataFrame:
@@ -95,11 +95,9 @@ def signature_share(fragments: DataFrame) -> DataFrame:
 
 
 def stratified(rows: DataFrame, stratum: str, score: Column, key: str) -> DataFrame:
-    """Of each stratum the best, the median and the last row."""
-    w = Window.partitionBy(stratum).orderBy(score.desc(), key)
-    n = F.count(F.lit(1)).over(Window.partitionBy(stratum))
-    ranked = rows.withColumn("rn", F.row_number().over(w)).withColumn("total", n)
-    return ranked.where((F.col("rn") == 1) | (F.col("rn") == F.floor(F.col("total") / 2) + 1) | (F.col("rn") == F.col("total"))).drop("total")
+    """Of each stratum the best, the median and the last row -> adds rn from 1."""
+    ranked = numbered(rows.withColumn("_s", score), stratum, [F.desc("_s"), key], "_r", "_all").withColumn("rn", F.col("_r") + 1)
+    return ranked.where((F.col("rn") == 1) | (F.col("rn") == F.floor(F.col("_all") / 2) + 1) | (F.col("rn") == F.col("_all"))).drop("_s", "_r", "_all")
 
 
 def validate_chunks(fragments: DataFrame, most: int = 250) -> DataFrame:

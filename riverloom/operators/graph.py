@@ -31,10 +31,18 @@ def mentions(fragments: DataFrame, cfg: Graph = GRAPH) -> DataFrame:
 
 
 def nodes(m: DataFrame) -> DataFrame:
-    """(node_id, texto, fenomeno, n_chunks, n_docs, chunk_ids, doc_ids); attributes of the first mention."""
+    """(node_id, texto, fenomeno, n_chunks, n_docs); attributes of the first mention.
+
+    The fragments of a node stay rows of ``mentions``; only an export needs them as a list (``node_lists``).
+    """
     first = F.min_by(F.struct("surface", "fenomeno"), F.struct("chunk_id", "ord"))
-    g = m.groupBy("node_id").agg(first.alias("f"), F.array_sort(F.collect_set("chunk_id")).alias("chunk_ids"), F.array_sort(F.collect_set("doc_id")).alias("doc_ids"))
-    return g.select("node_id", F.col("f.surface").alias("texto"), F.col("f.fenomeno").alias("fenomeno"), "chunk_ids", "doc_ids")
+    g = m.groupBy("node_id").agg(first.alias("f"), F.count(F.lit(1)).alias("n_chunks"), F.count_distinct("doc_id").alias("n_docs"))
+    return g.select("node_id", F.col("f.surface").alias("texto"), F.col("f.fenomeno").alias("fenomeno"), "n_chunks", "n_docs")
+
+
+def node_lists(m: DataFrame) -> DataFrame:
+    """A9 for an export: (node_id, chunk_ids, doc_ids), sorted sets; a node's list must fit a row there anyway."""
+    return m.groupBy("node_id").agg(F.array_sort(F.collect_set("chunk_id")).alias("chunk_ids"), F.array_sort(F.collect_set("doc_id")).alias("doc_ids"))
 
 
 def edges(m: DataFrame) -> DataFrame:

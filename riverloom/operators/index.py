@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vector as V
 from .corpus import union_partitions
+from .ranking import numbered
 
 
 def merged(*parts: DataFrame, dimension: int | None = None) -> DataFrame:
@@ -19,7 +20,7 @@ def merged(*parts: DataFrame, dimension: int | None = None) -> DataFrame:
 
 def running(rows: DataFrame, key: str, *order: str) -> DataFrame:
     """Position within ``key``."""
-    return rows.withColumn("posicion", (F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1).cast("bigint"))
+    return numbered(rows, key, list(order), "posicion")
 
 
 def not_unit(rows: DataFrame, tolerance: float = 1e-4) -> DataFrame:

@@ -66,11 +66,11 @@ def municipalities(features: DataFrame) -> DataFrame:
 
 
 def deduplicated(rows: DataFrame, source: str = "ruta") -> DataFrame:
-    """One row a municipality, that of the lowest zoom, with all its sources."""
-    w = Window.partitionBy("id_municipio").orderBy("zoom", "tile_x", "tile_y", source)
-    every = Window.partitionBy("id_municipio")
-    seen = F.array_sort(F.collect_set(source).over(every))
-    return rows.withColumns({"rn": F.row_number().over(w), "fuentes_todas": seen, "n_apariciones": F.count(F.lit(1)).over(every)}).where("rn = 1").drop("rn")
+    """One row a municipality, that of the lowest zoom, with all its sources. Combined before the shuffle."""
+    rest = [c for c in rows.columns if c != "id_municipio"]
+    first = F.min_by(F.struct(*rest), F.struct("zoom", "tile_x", "tile_y", source))
+    g = rows.groupBy("id_municipio").agg(first.alias("r"), F.array_sort(F.collect_set(source)).alias("fuentes_todas"), F.count(F.lit(1)).alias("n_apariciones"))
+    return g.select("id_municipio", *[F.col(f"r.{c}").alias(c) for c in rest], "fuentes_todas", "n_apariciones")
 
 
 def tile_identity(rows: DataFrame, inventory: DataFrame) -> DataFrame:

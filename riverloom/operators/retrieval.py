@@ -27,7 +27,10 @@ def fused(pool: DataFrame, evidence: DataFrame, cfg: Retrieval = RETRIEVAL, digi
 
     ``pool`` has (query_id, chunk_id, coseno, ...).
     """
-    g = evidence.where("score is not null").select("query_id", "chunk_id", V.over_max(F.col("score"), "query_id").alias("g"))
+    ev = evidence.where("score is not null").select("query_id", "chunk_id", "score")
+    top = ev.groupBy("query_id").agg(F.max("score").alias("m"))  # not a window: a question may hold most of the evidence
+    g = pool.select("query_id", "chunk_id").join(ev, ["query_id", "chunk_id"]).join(top, "query_id")
+    g = g.select("query_id", "chunk_id", F.when(F.col("m") > 0, F.col("score") / F.col("m")).otherwise(0.0).alias("g"))
     rows = pool.join(g, ["query_id", "chunk_id"], "left")
     z = V.zscore(F.col("coseno"), "query_id", epsilon=cfg.z_epsilon)
     return rows.withColumn("p", F.round(z + cfg.graph_weight * F.coalesce("g", F.lit(0.0)), digits))

@@ -91,7 +91,7 @@ def entity_mentions(s, d):
 
 
 def graph_nodes(s, d):
-    return G.nodes(_mentions(s, d)).select("node_id", "texto", "fenomeno", F.size("chunk_ids").cast("bigint").alias("n_chunks"), F.size("doc_ids").cast("bigint").alias("n_docs"))
+    return G.nodes(_mentions(s, d))
 
 
 def graph_edges(s, d):

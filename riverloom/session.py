@@ -30,6 +30,19 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the cluster's shared checkpoint folder and cut its lineage.
+
+    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests, local runs) a
+    temporary one is made.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="riverloom-"))
+    return df.checkpoint()
+
+
 def small(df: DataFrame, most: int = 50_000) -> DataFrame:
     """``df`` with a broadcast hint where it has at most ``most`` rows; beyond that Spark joins it by shuffle or in blocks.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import XML_EDGE, XML_KEY, XML_NODE
@@ -31,8 +31,9 @@ def read_nodes(spark: SparkSession, path: str) -> DataFrame:
         F.col("_id").alias("node_id"), _value(k, "node", "texto").alias("texto"), _value(k, "node", "tipo").alias("tipo"), _value(k, "node", "fenomeno").try_cast("int").alias("fenomeno"),
         _set(_value(k, "node", "chunk_ids")).alias("chunk_ids"), _set(_value(k, "node", "doc_ids")).alias("doc_ids"),
     )
-    w = Window.partitionBy("node_id").orderBy(F.col("texto").asc_nulls_last())
-    return rows.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    rest = [c for c in rows.columns if c != "node_id"]
+    g = rows.groupBy("node_id").agg(F.min_by(F.struct(*rest), F.struct(F.col("texto").isNull(), "texto")).alias("r"))
+    return g.select("node_id", *[F.col(f"r.{c}").alias(c) for c in rest])
 
 
 def read_edges(spark: SparkSession, path: str) -> DataFrame:

@@ -141,3 +141,16 @@ def test_empty_tables(spark):
     assert C.latest(f).count() == 0 and C.contiguity(f).count() == 0 and C.duplicates(f, "chunk_id").count() == 0
     assert [r.n for r in C.lint(f).collect()] == [0] * len(C.LINT)
     assert G.mentions(f).count() == 0
+
+
+def test_numbered_equals_a_window(spark):
+    from pyspark.sql import Window
+
+    from riverloom.operators.ranking import numbered
+
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("g"), F.col("id") % 11)).alias("g"), F.xxhash64("id").alias("o"), "id").repartition(5)
+    own = numbered(df, "g", ["o"], "n", "t")
+    w = Window.partitionBy("g")
+    ref = df.withColumn("n", (F.row_number().over(w.orderBy("o")) - 1).cast("bigint")).withColumn("t", F.count(F.lit(1)).over(w))
+    assert own.exceptAll(ref).count() == 0 and ref.exceptAll(own).count() == 0
+    assert numbered(df.limit(0), "g", ["o"], "n").count() == 0
