@@ -151,3 +151,22 @@ def one_hop(found: DataFrame, m: DataFrame, edge_table: DataFrame) -> DataFrame:
     out = found.join(e, F.col("node_id") == F.col("src")).select("query_id", "chunk_id")
     back = found.join(e, F.col("node_id") == F.col("dst")).select("query_id", "chunk_id")
     return own.unionAll(out).unionAll(back).groupBy("query_id", "chunk_id").agg(F.count(F.lit(1)).alias("puntuacion"))
+
+
+def consult(queries: DataFrame, node_table: DataFrame, edge_table: DataFrame, entities: DataFrame | None = None, cfg: Graph = GRAPH) -> DataFrame:
+    """The best fragments of each question by one-hop evidence -> (query_id, rank, chunk_id, puntuacion, relaciones).
+
+    ``entities`` are recognised names (query_id, entidad), by default the question's capitalised runs.
+    ``relaciones`` are the triples of the fragment's edges at found nodes, sorted.
+    """
+    if entities is None:
+        entities = queries.select("query_id", F.explode(F.regexp_extract_all("consulta", F.lit(NAME), F.lit(0))).alias("entidad")).distinct()
+    found = entity_nodes(entities, node_table, cfg).select("query_id", "node_id").unionByName(phrase_nodes(queries, node_table, cfg)).distinct()
+    scores = one_hop(found, mentions_of(node_table), edge_table)
+    w = Window.partitionBy("query_id").orderBy(F.desc("puntuacion"), "chunk_id")
+    top = scores.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= cfg.evidence)
+    e = edge_table.select("src", "dst", F.explode("chunk_ids").alias("chunk_id"), F.concat_ws(" ", "src", "relacion", "dst").alias("r"))
+    e = e.join(top.select("chunk_id").distinct(), "chunk_id", "left_semi")
+    at = found.join(e, F.col("node_id") == F.col("src")).select("query_id", "chunk_id", "r").unionByName(found.join(e, F.col("node_id") == F.col("dst")).select("query_id", "chunk_id", "r"))
+    lists = at.groupBy("query_id", "chunk_id").agg(F.array_sort(F.collect_set("r")).alias("relaciones"))
+    return top.join(lists, ["query_id", "chunk_id"], "left").select("query_id", "rank", "chunk_id", "puntuacion", F.coalesce("relaciones", F.array().cast("array<string>")).alias("relaciones"))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vector as V
-from .corpus import union_partitions
+from ..functions.encoder import Encoder, encode
+from .corpus import append_mode, union_partitions
 from .ranking import numbered
 
 
@@ -34,3 +35,30 @@ def self_retrieval(vectors: DataFrame, queries: DataFrame) -> DataFrame:
     own = queries.select("query_id", F.col("v").alias("qv"))
     score = own.join(vectors.select(F.col("id").alias("query_id"), "v"), "query_id").select("query_id", F.round(V.dot(F.col("qv"), F.col("v")), 6).alias("s"))
     return top.join(score, "query_id").select("query_id", (F.col("score") == F.col("s")).alias("propio"))
+
+
+def positional(metadata: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Metadata (linea, ...) and vectors (linea, embedding) by line number; unequal counts raise."""
+    n, m = metadata.count(), vectors.count()
+    if n != m:
+        raise ValueError(f"{n} rows of metadata, {m} vectors")
+    return metadata.join(vectors, "linea")
+
+
+def append(existing: DataFrame, incoming: DataFrame, path: str, encoder: Encoder | None = None) -> str:
+    """Encode and append new fragments (chunk_id, texto) to an index (chunk_id, embedding) kept at ``path``.
+
+    All incoming ids must be new (append) or known (nothing to do); a part raises. The batch is written
+    beside the index, checked for dimension and length, then appended; a second run changes nothing.
+    """
+    mode = append_mode(incoming, existing)
+    if mode == "append":
+        fresh = encode(incoming, "chunk_id", "texto", encoder).select(F.col("id").alias("chunk_id"), F.col("v").alias("embedding"))
+        staged = f"{path}__batch"
+        fresh.write.mode("overwrite").parquet(staged)
+        batch = existing.sparkSession.read.parquet(staged)
+        sizes = {r.d for r in existing.select(F.size("embedding").alias("d")).union(batch.select(F.size("embedding"))).distinct().collect()}
+        if len(sizes) > 1 or not_unit(batch.where(F.exists("embedding", lambda x: x != 0))).limit(1).count():
+            raise ValueError("dimension or length of the new vectors")
+        batch.write.mode("append").parquet(path)
+    return mode

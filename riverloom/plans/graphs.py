@@ -104,6 +104,11 @@ def entity_match(s, d):
     return G.entity_nodes(names, load(s, d, "nodos")).distinct()
 
 
+def graph_consult(s, d):
+    c = G.consult(load(s, d, "consultas"), load(s, d, "nodos"), load(s, d, "aristas"))
+    return c.select("query_id", "rank", "chunk_id", "puntuacion", F.array_join("relaciones", "; ").alias("relaciones"))
+
+
 _TOTAL = "tot as (select greatest(count(distinct chunk_id), 1)::double as total from metadata)"
 _DF = f"""terms as (select distinct t from (select unnest({Q.tokens('consulta')}) as t from consultas) where t not in {Q.STOP}),
 tdf as (select t as token, count(*) as df from (select chunk_id, unnest(list_distinct({Q.tokens("coalesce(texto, '')")})) as t from (select distinct chunk_id, texto from metadata)) where t in (select t from terms) group by t)"""
@@ -172,3 +177,12 @@ QUERIES = {
           regexp_matches(node_id, '(?:^|[^\p{{L}}\p{{N}}_])' || regexp_escape(id) || '(?:$|[^\p{{L}}\p{{N}}_])') or regexp_matches(id, '(?:^|[^\p{{L}}\p{{N}}_])' || regexp_escape(node_id) || '(?:$|[^\p{{L}}\p{{N}}_])'))""",
     ),
 }
+QUERIES["graph_consult"] = (
+    graph_consult,
+    f"""with {_M}, e as (select src, dst, src || ' ' || relacion || ' ' || dst as r, unnest(chunk_ids) as chunk_id from aristas),
+    fo as (select distinct query_id, node_id from ((select query_id, node_id from ({QUERIES['node_phrase_match'][1]})) union all (select query_id, node_id from ({QUERIES['entity_match'][1]})))),
+    u as (select query_id, chunk_id, null as r from fo join ment using (node_id) union all select query_id, chunk_id, r from fo join e on e.src = fo.node_id union all select query_id, chunk_id, r from fo join e on e.dst = fo.node_id),
+    g as (select query_id, chunk_id, count(*) as puntuacion, array_to_string(list_sort(list(distinct r) filter (where r is not null)), '; ') as relaciones from u group by 1, 2),
+    t as (select *, row_number() over (partition by query_id order by puntuacion desc, chunk_id) as rank from g)
+    select query_id, rank, chunk_id, puntuacion, coalesce(relaciones, '') as relaciones from t where rank <= 10""",
+)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import maps as M
+from ..operators import quality as QC
 from ..session import load
 
 
@@ -51,6 +52,11 @@ def municipality_chunks(s, d):
     return M.chunks(m).drop("idiomas")
 
 
+def map_quality(s, d):
+    m = M.municipalities(_features(s, d)).withColumn("doc_id", F.lit("AU-1")).withColumn("fuente", F.col("ruta"))
+    return QC.report(QC.municipalities(m, 100), QC.map_texts(M.chunks(m)))
+
+
 _FLAGS = ", ".join(f"case when s_suppkey % {i + 2} = 0 then '{v}' end" for i, v in enumerate(M.GROUPS.values()))
 QUERIES = {
     "tile_centroid": (
@@ -71,4 +77,5 @@ QUERIES = {
         select 'm' || s_suppkey as id_municipio, array_to_string(l, '|') as grupos, len(l) as n_grupos, s_suppkey % 2 = 0 as investigado from g""",
     ),
     "municipality_chunks": (municipality_chunks, None),
+    "map_quality": (map_quality, None),
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import vector as V
 from ..functions.encoder import encode
 from ..operators import corpus as C
+from ..operators import quality as QC
 from ..operators import retrieval as R
 from ..session import load
 from . import sqltext as Q
@@ -70,6 +71,11 @@ def validate_results(s, d):
     return R.validate_results(hybrid_results(s, d))
 
 
+def traceability(s, d):
+    """Q5: none of the result's ids may lack in the base."""
+    return QC.traceability(hybrid_results(s, d), load(s, d, "metadata"))
+
+
 def best_window(s, d):
     frags, _, queries, _ = _parts(s, d)
     top = R.best(_fused(s, d), 60).select("query_id", "chunk_id", "coseno").join(frags.select("chunk_id", "texto"), "chunk_id")
@@ -106,4 +112,5 @@ QUERIES = {
     "hybrid_results": (hybrid_results, None),
     "result_json": (result_json, None),
     "validate_results": (validate_results, None),
+    "traceability": (traceability, None),
 }

@@ -154,3 +154,38 @@ def test_numbered_equals_a_window(spark):
     ref = df.withColumn("n", (F.row_number().over(w.orderBy("o")) - 1).cast("bigint")).withColumn("t", F.count(F.lit(1)).over(w))
     assert own.exceptAll(ref).count() == 0 and ref.exceptAll(own).count() == 0
     assert numbered(df.limit(0), "g", ["o"], "n").count() == 0
+
+
+def test_quality_reports(spark):
+    from riverloom.operators import quality as QC
+
+    m = _municipality(spark, nivel2="BogotÃ¡", poblacion=-1.0)
+    got = {r.control: r.n for r in QC.municipalities(m, 1, countries=("COLÓMBIA", "Perú")).collect()}
+    assert got["mojibake"] == 1 and got["poblacion fuera de rango"] == 1 and got["paises que faltan"] == 1 and got["repetidos"] == 0 and got["numero de municipios"] == 0
+    with pytest.raises(ValueError, match="mojibake"):
+        QC.enforce(QC.municipalities(m))
+    c = M.chunks(_municipality(spark))
+    texts = {r.control: r.n for r in QC.map_texts(c).collect()}
+    assert not any(n for k, n in texts.items() if k not in ("estructura repetida", "toponimos sin tilde"))
+    assert QC.review_sample(c).count() == 1
+    e = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id bigint, embedding array<double>")
+    ok = {r.control: r.n for r in QC.index_checks(e, I.merged(e)).collect()}
+    assert not any(ok.values())
+    assert {r.control: r.n for r in QC.index_checks(e, e.where("vec_id = 1")).collect()}["vectores perdidos"] == 1
+    res = spark.createDataFrame([("q001", [(1, "d9")], [(1, "c", "d", "x")])], "query_id string, documents array<struct<rank:bigint,doc_id:string>>, fragments array<struct<rank:bigint,chunk_id:string,doc_id:string,text:string>>")
+    base = spark.createDataFrame([("c", "d")], "chunk_id string, doc_id string")
+    assert rows(QC.traceability(res, base)) == [("q001", "doc_id", "d9")]
+
+
+def test_append_is_idempotent(spark, tmp_path):
+    path = str(tmp_path / "index")
+    encode(spark.createDataFrame([("a", "uno dos")], "chunk_id string, texto string"), "chunk_id", "texto").selectExpr("id as chunk_id", "v as embedding").write.parquet(path)
+    new = spark.createDataFrame([("b", "tres"), ("c", "cuatro")], "chunk_id string, texto string")
+    assert [I.append(spark.read.parquet(path), new, path) for _ in range(2)] == ["append", "nothing"]
+    assert spark.read.parquet(path).count() == 3
+    with pytest.raises(ValueError):
+        I.append(spark.read.parquet(path), spark.createDataFrame([("a", "x"), ("z", "y")], "chunk_id string, texto string"), path)
+    line = spark.createDataFrame([(0, "a")], "linea int, chunk_id string")
+    assert I.positional(line, spark.createDataFrame([(0, [1.0])], "linea int, embedding array<double>")).count() == 1
+    with pytest.raises(ValueError):
+        I.positional(line, line.limit(0))
