@@ -3,29 +3,26 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import cut, ship
 
 TOKENIZER_DIR = "/opt/tokenizers"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the cluster's shared checkpoint folder and cut its lineage.
+#: Input under so many bytes is spread over all cores first; larger input has enough partitions of its own.
+SPREAD_BYTES = 16 << 20
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests, local
-    runs) a temporary one is made.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="riverloom-"))
-    return df.checkpoint()
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table, often one file and so one task, over as many partitions as there are cores. Judged by the plan's size alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < SPREAD_BYTES else df
 
 
 def tokenizer_bytes(file: str, tokenizer_dir: str | None = None) -> bytes:
@@ -46,12 +43,7 @@ def map_columns(df: DataFrame, columns: list[str], schema: str, f: Callable[[dic
             out = f({c: b.column(i).to_pylist() for i, c in enumerate(columns)})
             yield pa.RecordBatch.from_arrays([pa.array(out[x.name], type=x.type) for x in target], schema=target)
 
-    return df.select(*[F.col(c) for c in columns]).mapInArrow(run, schema)
-
-
-def blank(c) -> F.Column:
-    """True for null, empty or all-white-space text."""
-    return c.isNull() | (F.length(F.regexp_replace(c, r"(?U)\s+", "")) == 0)
+    return spread(df.select(*[F.col(c) for c in columns])).mapInArrow(run, schema)
 
 
 def sample_texts(fragments: DataFrame, n: int) -> list[str]:
@@ -60,3 +52,6 @@ def sample_texts(fragments: DataFrame, n: int) -> list[str]:
     every = max(1, fragments.count() // n)  # of a table: from its footers
     picked = rows.where(F.pmod(F.xxhash64("chunk_id"), F.lit(every)) == 0).select("texto")
     return [r.texto for r in picked.limit(2 * n).collect()]
+
+
+__all__ = ["cut", "map_columns", "sample_texts", "spread", "tokenizer_bytes"]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from . import sentences
-from .common import map_columns
+from .common import map_columns, spread
 
 #: Hashed terms, rank of the latent space, words of a window, step between windows of documents and of items.
 TERMS, RANK, WINDOW, STEP, ITEM_STEP = 1 << 15, 80, 18, 7, 4
@@ -290,7 +290,7 @@ def leak_report(documents: DataFrame, items: DataFrame, cosine: float = COSINE)
     spark = documents.sparkSession
     ship(spark)
     own = items_of(items)
-    texts = documents.select("text")
+    texts = spread(documents.select("text"))
     if not own:
         return spark.createDataFrame([], RESULT)
     idf, basis = latent_space(texts, [x.words for x in own])
