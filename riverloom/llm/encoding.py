@@ -52,7 +52,7 @@ def cost(token: str) -> float:
             inside = before.isalpha() and after.isalpha()
             if inside and c not in "’‘·‐‑\xad¬†‡ı­":
                 total += 5
-            elif c in "½¼¾" and (before.isalpha() or after.isalpha()):
+            elif c in "½¼¾" and (before.isalpha() or after.isalpha()) or c in "‚£" and before.isalpha():
                 total += 5
             elif c in "¡¿" and before.isalpha():
                 total += 5
