@@ -91,7 +91,7 @@ def summary(s, d):
     )
 
 
-_D = f"select distinct chunk_id, texto from metadata"  # noqa: F541
+_D = "select distinct chunk_id, texto from metadata"
 _LATE = "cargado_en >= timestamp '2024-02-01'"
 _UNION = " union all ".join(
     f"select '{k}' as regla, coalesce(sum(case when regexp_matches(texto, '{p}') then 1 else 0 end), 0)::bigint as n from t"
