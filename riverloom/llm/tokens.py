@@ -10,7 +10,6 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import ship
 from .common import cut, map_columns, tokenizer_bytes
