@@ -9,7 +9,7 @@ from . import budget, encoding, language, leaks, quality, residue, scans, senten
 def queries():
     return {
         "p1_found": lambda s, d: language.found(load(s, d, "metadata")),
-        "p1_languages": lambda s, d: language.languages(load(s, d, "metadata")).distinct(),
+        "p1_languages": lambda s, d: language.languages(load(s, d, "metadata")).dropDuplicates(["chunk_id"]),
         "p2_found": lambda s, d: residue.found(load(s, d, "metadata")),
         "p3_found": lambda s, d: scans.found(load(s, d, "metadata")),
         "p3_repaired": lambda s, d: scans.repaired(load(s, d, "metadata")),
