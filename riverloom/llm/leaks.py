@@ -233,36 +233,47 @@ def _runs(item: Item, doc: list[str]) -> list[tuple[int, int, int]]:
 def leaked(item: Item, doc: list[str]) -> tuple[int, int] | None:
     """(words of the passage covered, changed) of the longest leak in the document, or None.
 
-    Runs of common words are chained in order; what lies between two runs counts as changed. Where
-    at most one word in CHANGED is changed, some run has six words or more, so shorter ones don't start.
+    Runs of common words are chained in order; what lies between two runs counts as changed. Of all
+    chains the best is found by dynamic programming: for each run and number of changed words, the
+    first word of the passage from which a chain reaches the end of the run. Where at most one word in
+    CHANGED is changed, some run has six words or more (five in a unit of a script without spaces, of
+    ten words or more), and no run of the chain is farther from its diagonal than words are changed.
     """
     runs = _runs(item, doc)
-    if not runs or max(n for _, _, n in runs) < min(6, LEAST):
+    least = 5 if item.solid else min(6, LEAST)
+    most = max((q - p for p, q in item.bounds), default=0) if item.solid else len(item.words)
+    cap = most // CHANGED
+    strong = {i - j for i, j, n in runs if n >= least}
+    if not strong:
         return None
-    strong = [r for r in runs if r[2] >= 6]
-    near = sorted(r for r in runs if r[2] >= 2 or any(abs((r[0] - r[1]) - (s[0] - s[1])) <= 3 for s in strong))
+    band = {d + e for d in strong for e in range(-cap, cap + 1)}
+    near = sorted((i + n, i, j, n) for i, j, n in runs if i - j in band)
     best = None
-    for s in strong:
-        # chains through s: grow to both sides by the nearest runs on about the same diagonal
-        same = [r for r in near if abs((r[0] - r[1]) - (s[0] - s[1])) <= 3]
-        for a in range(len(same)):
-            i0, j0, n0 = same[a]
-            i1, j1, changed = i0 + n0, j0 + n0, 0
-            chain = [(i0, i1, 0)]
-            for i, j, n in same[a + 1 :]:
-                if i >= i1 and j >= j1:
-                    changed += max(i - i1, j - j1)
-                    i1, j1 = i + n, j + n
-                    chain.append((i0, i1, changed))
-            for x0, x1, c in chain:
-                size = x1 - x0
-                if item.solid:
-                    for p, q in item.bounds:
-                        miss = max(0, x0 - p) + max(0, q - x1)
-                        if q - p >= 6 and x0 < q and x1 > p and (c + miss) * CHANGED <= q - p:
-                            best = max(best or (0, 0), (q - p, -c))
-                elif size >= LEAST and c * CHANGED <= size:
-                    best = max(best or (0, 0), (size, -c))
+    firsts: list[list[int]] = []
+    for b, (x1, i, j, n) in enumerate(near):
+        first = [i] + [x1] * cap
+        for a in range(b - 1, -1, -1):
+            end, i0, j0, n0 = near[a]
+            if i - end > cap:
+                break
+            di, dj = i - end, j - j0 - n0
+            late = max(0, -di, -dj)  # words of this run that the one before has taken
+            if late >= n:
+                continue
+            gap = max(di, dj) + late
+            for c in range(cap + 1 - gap):
+                if firsts[a][c] < first[c + gap]:
+                    first[c + gap] = firsts[a][c]
+        firsts.append(first)
+        for c, x0 in enumerate(first):
+            size = x1 - x0
+            if item.solid:
+                for p, q in item.bounds:
+                    miss = max(0, x0 - p) + max(0, q - x1)
+                    if q - p >= 6 and x0 < q and x1 > p and (c + miss) * CHANGED <= q - p:
+                        best = max(best or (0, 0), (q - p, -c))
+            elif size >= LEAST and c * CHANGED <= size:
+                best = max(best or (0, 0), (size, -c))
     return (best[0], -best[1]) if best else None
 
 

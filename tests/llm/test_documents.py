@@ -47,6 +47,56 @@ def test_alignment_equals_brute_force():
         assert bool(leaks.leaked(item, doc)) == brute
 
 
+def test_alignment_with_repeated_words_equals_brute_force():
+    """Function words that recur within the passage, words changed, left out and put in."""
+    words = [*"abcdefg", "de", "hh", "ii", "de", *"klmn"]
+    item = leaks.Item(1, " ".join(words), None)
+    assert leaks.leaked(item, [*words[:7], "con", *words[8:]]) == (15, 1)
+
+    def brute(body: list[str], doc: list[str]) -> tuple[int, int] | None:
+        """Edit distance of each part of the passage, both ends kept, to any part of the document."""
+        best = None
+        for x0 in range(len(body)):
+            row = [0] * (len(doc) + 1)
+            for x1 in range(x0 + 1, len(body) + 1):
+                w, before = body[x1 - 1], row
+                row = [x1 - x0]
+                for j, v in enumerate(doc):
+                    row.append(min(before[j] + (v != w), before[j + 1] + 1, row[j] + 1))
+                size, c = x1 - x0, min(row)
+                if size >= leaks.LEAST and c * leaks.CHANGED <= size:
+                    ends = min((before[j] for j, v in enumerate(doc) if v == w), default=99)
+                    if ends == c and body[x0] in doc:
+                        best = max(best or (0, 0), (size, -c))
+        return (best[0], -best[1]) if best else None
+
+    rng = random.Random(7)
+    hits = 0
+    for _ in range(400):
+        body = [rng.choice(["de", "la", "y", *(f"w{chr(97 + k)}" for k in range(20))]) for _ in range(rng.randint(15, 34))]
+        item = leaks.Item(1, "x", None)
+        item.words, item.places = body, {}
+        for i, w in enumerate(body):
+            item.places.setdefault(w, []).append(i)
+        doc = list(body)
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randrange(len(doc))
+            doc[k : k + rng.randint(0, 1)] = [rng.choice(["de", "la", "otra"])][: rng.randint(0, 1)]
+        doc = ["x1"] * rng.randint(0, 4) + doc + ["de", "y1"] * rng.randint(0, 3)
+        got, want = leaks.leaked(item, doc), brute(body, doc)
+        assert bool(got) == bool(want) and (not got or got[1] * leaks.CHANGED <= got[0] and got[0] <= want[0])
+        hits += bool(got)
+    assert 50 < hits < 400
+
+
+def test_alignment_in_solid_scripts():
+    """A changed character in the middle of a unit of ten leaves runs of five at most."""
+    unit = "甲乙丙丁戊己庚辛壬癸"
+    item = leaks.Item(1, unit + "。下列哪一项说法最为恰当？", None)
+    assert item.solid and item.bounds[0] == (0, 10)
+    assert leaks.leaked(item, list("区域" + unit[:4] + "子" + unit[5:] + "背景")) == (10, 1)
+
+
 CASES = [
     ["El Dr. Pérez visitó la Av. Central con 20 hombres.", "La tasa pasó de 31,4 a 10,7 por ciento."], ["—¿Hubo aviso previo? —preguntó el delegado de Quito.", "«No hay garantías», dijo la vocera."],
     ["La patrulla llegó a las 2 p. m.", "El equipo dudó… pero al final aceptó."], ["We had no time, e.g. for the U.S. and others.", "What now?!", "(See annex 4.)"], ["Am 10. Mai 2014 kam Dr. Weiß.", "„Es gibt keine Gewähr“, sagte sie."],
