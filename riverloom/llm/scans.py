@@ -40,6 +40,9 @@ _PAGE_HEAD = re.compile(r"(?:\s{2,}|\s*[|·—–-]\s+)(?P<n>\d{1,6})\s*$|^\s*(?
 _RECORD = re.compile(r"^\W*\d[\d.,   ]*[.,]\d[\d.,   ]*\W*$")
 _PROSE_LINE = re.compile(r"\b(?:de la|que|the|und|les|con|del|para|com|dans|der|die|of|los|las|a|el|y)\b [^\W\d_]+ [^\W\d_]+")
 _WORDS = re.compile(r"[^\W\d_]+")
+#: Stands before a mark at the end of a line as long as it isn't decided whether it breaks a word.
+JOINT = "\ufdd0"
+_JOINTS = re.compile(rf"([^\W\d_]+){JOINT}[-‑](?=([^\W\d_]+))")
 _TERMINAL = frozenset(".!?…:»”\")")
 
 
@@ -136,41 +139,23 @@ def train_lines(rows: list[tuple[str, str | None, str | None]], seed: int = 5) -
 
 
 class LineModel:
-    def __init__(self, headers: Boosted, words: dict[str, int], compounds: frozenset[str]):
-        self.headers, self.words, self.compounds = headers, words, compounds
-
-    def broken(self, left: str, mark: str, right: str, bare_right: str) -> bool:
-        """Whether a mark at the end of a line breaks a word, or is a compound's own hyphen.
-
-        A joined word that occurs speaks for a break; halves that are words, or a compound that occurs
-        within lines, against it.
-        """
-        if not right[:1].islower():
-            return False
-        if mark not in "-‑":
-            return True
-        l, r = left.lower(), bare_right.lower()
-        if f"{l}-{r}" in self.compounds:
-            return False
-        joined = self.words.get(l + r, 0)
-        if joined:
-            return True
-        a, b = self.words.get(l, 0), self.words.get(r, 0)
-        return not (a and b and len(l) > 2 and len(r) > 2) and not (b and len(r) > 4 and len(l) > 3 and l[-1] in "oe" and l not in self.words and self.words.get(l[:-1] + "a", 0) > 0)
+    def __init__(self, headers: Boosted, words: dict[str, int]):
+        self.headers, self.words = headers, words
 
     def analyse(self, text: str, source: str | None, place: str | None) -> tuple[set[str], str, list[str]]:
         """(classes of layout noise, text without it in paragraphs, the lines left out)."""
         return self.analyse_all([(text, source, place)])[0]
 
-    def analyse_all(self, rows: list[tuple[str, str | None, str | None]]) -> list[tuple[set[str], str, list[str]]]:
+    def analyse_all(self, rows: list[tuple[str, str | None, str | None]], broken: list[set[tuple[str, str]]] | None = None) -> list[tuple[set[str], str, list[str]]]:
         """The same for a batch: all its lines go through the header classifier at once.
 
-        Lists, tables and junk (problem 5) have no running text that a page could break, and stay as they are.
+        ``broken`` has the pairs of word parts of each row that are one broken word; without it, hyphens
+        at the end of a line stay undecided and have JOINT before them. Lists, tables and junk (problem 5) have no running text that a page could break, and stay as they are.
         """
         states = [self._lines(*r) if "\n" in r[0] else None for r in rows]
         tests = [f for s in states if s for _, f in s[4]]
         p = iter(self.headers.predict(np.array(tests)).tolist() if tests else ())
-        return [self._finish(r[0], s, [next(p) for _ in s[4]]) if s else (set(), r[0], []) for r, s in zip(rows, states)]
+        return [self._finish(r[0], s, [next(p) for _ in s[4]], b) if s else (set(), r[0], []) for r, s, b in zip(rows, states, broken or [None] * len(rows))]
 
     def _lines(self, text: str, source: str | None, place: str | None):
         """Lines, blank neighbours, page numbers and the lines that may be headers, with their features."""
@@ -207,7 +192,7 @@ class LineModel:
                 tests.append((i, line_features(x, before, after, i == 0, i == len(lines) - 1, blank[i], about, width)))
         return lines, blank, drop, page, tests, width
 
-    def _finish(self, text: str, state, scores: list[float]) -> tuple[set[str], str, list[str]]:
+    def _finish(self, text: str, state, scores: list[float], broken: set[tuple[str, str]] | None) -> tuple[set[str], str, list[str]]:
         lines, blank, drop, page, tests, width = state
         found: set[str] = {"pagina"} if page else set()
         for (i, f), q in zip(tests, scores):
@@ -220,23 +205,27 @@ class LineModel:
             return set(), text, []
         kept = [x.strip() for x, d in zip(lines, drop) if not d]
         out: list[str] = []
+        hyphens = False
         for j, x in enumerate(kept):
             more = j + 1 < len(kept)
             m = _BROKEN.search(x) if more and x[-1] in MARKS else None
             if m:
                 nxt = kept[j + 1]
                 r = re.match(r"[^\W\d_]+", nxt)
-                if r and self.broken(m[1], m[2], nxt, r[0]):
-                    found.add("guion")
-                    out.append(x[: m.start(2)])
-                    continue
                 if r and nxt[:1].islower():
-                    out.append(x)
+                    if m[2] not in "-‑" or broken and (m[1].lower(), r[0].lower()) in broken:
+                        found.add("guion")
+                        out.append(x[: m.start(2)])
+                    elif broken is None:
+                        out.append(x[: m.start(2)] + JOINT + x[m.start(2) :])
+                    else:
+                        out.append(x)
+                    hyphens |= m[2] in "-‑"
                     continue
             out.append(x)
             if more:
                 out.append(" " if x[-1] not in _TERMINAL or len(x) > 0.6 * width else "\n")
-        if found and found <= {"guion"} and quality.kinds([text], [False])[0][0] != "prosa":
+        if (found or hyphens) and found <= {"guion"} and quality.kinds([text], [False])[0][0] != "prosa":
             return set(), text, []
         return found, "".join(out), [x for x, d in zip(lines, drop) if d]
 
@@ -251,23 +240,29 @@ def bare(token: str) -> str:
 
 
 def word_counts(fragments: DataFrame) -> DataFrame:
-    """(word, n, clean): tokens over all fragments, and those in formats that aren't scanned.
+    """(word, n, clean, inline): tokens over all fragments, and those in formats that aren't scanned; compounds within tokens of the latter.
 
     Counted within each partition first, so that the shuffle carries a word once a partition.
     """
     ship(fragments.sparkSession)
-    schema = "word string, n long, clean long"
-    kind = pa.schema([("word", pa.string()), ("n", pa.int64()), ("clean", pa.int64())])
+    schema = "word string, n long, clean long, inline long"
+    kind = pa.schema([("word", pa.string()), ("n", pa.int64()), ("clean", pa.int64()), ("inline", pa.int64())])
 
     def emit(all_: Counter, clean: Counter) -> pa.RecordBatch:
         n: Counter = Counter()
         c: Counter = Counter()
+        inline: Counter = Counter()
         for t, k in all_.items():
             w = bare(t).lower()
             if 1 < len(w) <= 40:
                 n[w] += k
                 c[w] += clean.get(t, 0)
-        return pa.RecordBatch.from_arrays([pa.array(list(n)), pa.array(list(n.values()), pa.int64()), pa.array([c[w] for w in n], pa.int64())], schema=kind)
+            if "-" in t and t in clean:
+                for x in _COMPOUND.findall(t):
+                    inline[x.lower()] += clean[t]
+        for w in inline:
+            n[w] += 0
+        return pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), *(pa.array([x[w] for w in n], pa.int64()) for x in (n, c, inline))], schema=kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         all_: Counter = Counter()
@@ -285,7 +280,44 @@ def word_counts(fragments: DataFrame) -> DataFrame:
         yield emit(all_, clean)
 
     parts = fragments.select("texto", scanned().alias("f")).mapInArrow(run, schema)
-    return parts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("clean").alias("clean"))
+    return parts.groupBy("word").agg(*[F.sum(k).alias(k) for k in ("n", "clean", "inline")])
+
+
+def _parts(d: dict[str, list]) -> dict[str, list]:
+    """(form, l, r): the word parts beside each undecided hyphen of a form."""
+    rows = [(f, m[1].lower(), m[2].lower()) for f in d["form"] for m in _JOINTS.finditer(f)]
+    return {k: [r[i] for r in rows] for i, k in enumerate(("form", "l", "r"))}
+
+
+def _decided(d: dict[str, list]) -> dict[str, list]:
+    """(form, word, broken): the word that a form is, once its hyphens are decided, and whether one breaks a word.
+
+    A word that needs no look for misreadings is null."""
+    out: dict[str, list] = {"form": d["form"], "word": [], "broken": []}
+    for f, xs in zip(d["form"], d["parts"]):
+        yes = {(x["l"], x["r"]) for x in xs if x["broken"]}
+        w = _JOINTS.sub(lambda m: m[1] if (m[1].lower(), m[2].lower()) in yes else m[0], f)
+        b = bare(w.replace(JOINT, "")).lower()
+        out["word"].append(b if len(b) > 3 and (not _ADDRESS.search(b) or _INSIDE.match(b)) else None)
+        out["broken"].append(bool(yes))
+    return out
+
+
+def broken_words(pairs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(l, r, broken): whether a hyphen at the end of a line breaks a word, or is a compound's own.
+
+    A joined word that occurs speaks for a break; halves that are words, or a compound that occurs
+    within lines, against it. All of it is looked up in the whole vocabulary of formats that aren't scanned.
+    """
+    l, r = F.col("l"), F.col("r")
+    forms = {"joined": F.concat(l, r), "compound": F.concat(l, F.lit("-"), r), "left": l, "right": r, "feminine": F.expr("concat(left(l, length(l) - 1), 'a')")}
+    keys = pairs.select("l", "r", F.explode(F.array(*[F.struct(F.lit(k).alias("role"), w.alias("word")) for k, w in forms.items()])).alias("x")).select("l", "r", "x.*")
+    known = vocabulary.where("clean > 0 or inline > 0").select("word", (F.col("clean") > 0).alias("is_word"), (F.col("inline") > 0).alias("is_compound"))
+    is_ = lambda k, c: F.coalesce(F.max(F.when(F.col("role") == k, F.col(c))), F.lit(False)).alias(k)
+    g = keys.join(known, "word", "left").groupBy("l", "r").agg(*[is_(k, "is_compound" if k == "compound" else "is_word") for k in forms])
+    whole = F.expr("left and right and length(l) > 2 and length(r) > 2")
+    linked = F.expr("right and length(r) > 4 and length(l) > 3 and l rlike '[oe]$' and not left and feminine")
+    return g.select("l", "r", (~F.col("compound") & (F.col("joined") | ~whole & ~linked)).alias("broken"))
 
 
 def scanned() -> F.Column:
@@ -432,7 +464,7 @@ _COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
 
 
 def _scan(fragments: DataFrame, sample: int):
-    """(layout rows, readings by fragment, vocabulary, ranker) over all pdf fragments."""
+    """(classes and readings by fragment, vocabulary, ranker, line model, parts of broken words by fragment) over all pdf fragments."""
     spark = fragments.sparkSession
     vocabulary = cut(word_counts(fragments))
     top = [(r.word, r.n) for r in vocabulary.where("clean > 0").orderBy(F.desc("clean"), "word").limit(KNOWN_WORDS).collect()]
@@ -440,9 +472,7 @@ def _scan(fragments: DataFrame, sample: int):
     picked = fragments.where(F.col("texto").isNotNull() & ~scanned() & (F.pmod(F.xxhash64("chunk_id"), F.lit(every)) == 0))
     rows = [(r.texto, r.fuente, r.observatorio) for r in picked.select("texto", "fuente", "observatorio").limit(2 * sample).collect()]
     known = dict(top)
-    inline: Counter = Counter(w.lower() for t, _, _ in rows for w in _COMPOUND.findall(t))
-    compounds = frozenset(w for w, n in inline.items() if n > 0) | frozenset(w for w in known if "-" in w.strip("-"))
-    model = LineModel(train_lines(rows), known, compounds)
+    model = LineModel(train_lines(rows), known)
     ranker = train_words(top)
     shared = spark.sparkContext.broadcast(model)
 
@@ -450,16 +480,23 @@ def _scan(fragments: DataFrame, sample: int):
 
     def run(d: dict[str, list]) -> dict[str, list]:
         m = shared.value
-        out: dict[str, list] = {"chunk_id": [], "clase": [], "word": []}
+        out: dict[str, list] = {"chunk_id": [], "clase": [], "word": [], "form": []}
+
+        def emit(chunk_id: str, clase: str | None = None, word: str | None = None, form: str | None = None) -> None:
+            out["chunk_id"].append(chunk_id), out["clase"].append(clase), out["word"].append(word), out["form"].append(form)
+
         known = m.words
         live = [(i, t, f, o) for i, t, f, o in zip(d["chunk_id"], d["texto"], d["fuente"], d["observatorio"]) if t and t.strip()]
         for (i, *_), (classes, flat, left) in zip(live, m.analyse_all([x[1:] for x in live])):
             for c in classes:
-                out["chunk_id"].append(i), out["clase"].append(c), out["word"].append(None)
+                emit(i, clase=c)
             ws = set(flat.split())
             for x in left:
                 ws.update(x.split())
             for w in ws:
+                if JOINT in w and _JOINTS.search(w):
+                    emit(i, form=w)
+                    continue
                 if w in seen:
                     b = seen[w]
                 else:
@@ -468,12 +505,21 @@ def _scan(fragments: DataFrame, sample: int):
                     if len(seen) > 300_000:
                         seen.clear()
                 if b:
-                    out["chunk_id"].append(i), out["clase"].append(None), out["word"].append(b)
+                    emit(i, word=b)
         return out
 
     pdf = fragments.where(scanned())
-    found = cut(map_columns(pdf, ["chunk_id", "texto", "fuente", "observatorio"], "chunk_id string, clase string, word string", run).distinct())
-    return found, vocabulary, ranker, shared
+    rows = cut(map_columns(pdf, ["chunk_id", "texto", "fuente", "observatorio"], "chunk_id string, clase string, word string, form string", run))
+    forms = rows.where("form is not null").select("chunk_id", "form")
+    parts = map_columns(forms.select("form").distinct(), ["form"], "form string, l string, r string", _parts)
+    parts = cut(parts.join(broken_words(parts.select("l", "r").distinct(), vocabulary), ["l", "r"]))
+    by_form = parts.groupBy("form").agg(F.collect_list(F.struct("l", "r", "broken")).alias("parts"))
+    decided = forms.join(map_columns(by_form, ["form", "parts"], "form string, word string, broken boolean", _decided), "form")
+    none = F.lit(None).cast("string")
+    found = rows.where("form is null").select("chunk_id", "clase", "word")
+    found = found.unionByName(decided.where("word is not null").select("chunk_id", none.alias("clase"), "word"))
+    found = found.unionByName(decided.where("broken").select("chunk_id", F.lit("guion").alias("clase"), none.alias("word")))
+    return cut(found.distinct()), vocabulary, ranker, shared, forms.join(parts.where("broken"), "form").select("chunk_id", "l", "r")
 
 
 def _corrected(found: DataFrame, vocabulary: DataFrame, ranker: Boosted) -> DataFrame:
@@ -489,9 +535,9 @@ def found(fragments: DataFrame, sample: int = 1500) -> DataFrame:
 
     Only pdf fragments are scans. Null and blank texts give no row; repeats of a fragment give one row
     a class. Models are fitted on at most ``2 * sample`` fragments of other formats and on the bounded
-    list of KNOWN_WORDS; word counts cover all fragments.
+    list of KNOWN_WORDS; word counts, and with them what is a broken word or a compound, cover all fragments.
     """
-    rows, vocabulary, ranker, _ = _scan(fragments, sample)
+    rows, vocabulary, ranker, _, _ = _scan(fragments, sample)
     bad = _corrected(rows, vocabulary, ranker).select("word")
     char = rows.where("word is not null").join(bad, "word", "left_semi").select("chunk_id", F.lit("caracter").alias("clase"))
     return rows.where("clase is not null").select("chunk_id", "clase").unionByName(char.distinct())
@@ -503,16 +549,19 @@ def repaired(fragments: DataFrame, sample: int = 1500) -> DataFrame:
     Headers and page numbers are left out, broken words joined, misread words replaced by their best
     candidate. Other formats, null and blank texts give no row.
     """
-    rows, vocabulary, ranker, shared = _scan(fragments, sample)
+    rows, vocabulary, ranker, shared, broken = _scan(fragments, sample)
     fixes = _corrected(rows, vocabulary, ranker).where("correction is not null")
     by = rows.where("word is not null").join(fixes, "word").groupBy("chunk_id").agg(F.collect_list(F.struct("word", "correction")).alias("fixes"))
-    pdf = fragments.where(scanned() & F.col("texto").isNotNull()).select("chunk_id", "texto", "fuente", "observatorio").join(by, "chunk_id", "left")
+    parts = broken.groupBy("chunk_id").agg(F.collect_set(F.struct("l", "r")).alias("broken"))
+    pdf = fragments.where(scanned() & F.col("texto").isNotNull()).select("chunk_id", "texto", "fuente", "observatorio")
+    pdf = pdf.join(by, "chunk_id", "left").join(parts, "chunk_id", "left")
 
     def run(d: dict[str, list]) -> dict[str, list]:
         m = shared.value
         out: dict[str, list] = {"chunk_id": [], "texto": [], "clases": []}
-        live = [x for x in zip(d["chunk_id"], d["texto"], d["fuente"], d["observatorio"], d["fixes"]) if x[1].strip()]
-        for (i, _, _, _, x), (classes, flat, _) in zip(live, m.analyse_all([x[1:4] for x in live])):
+        live = [x for x in zip(d["chunk_id"], d["texto"], d["fuente"], d["observatorio"], d["fixes"], d["broken"]) if x[1].strip()]
+        broken = [{(r["l"], r["r"]) for r in x[5] or ()} for x in live]
+        for (i, _, _, _, x, _), (classes, flat, _) in zip(live, m.analyse_all([x[1:4] for x in live], broken)):
             table = {r["word"]: r["correction"] for r in x or ()}
             if table:
                 classes = classes | {"caracter"}
@@ -520,7 +569,7 @@ def repaired(fragments: DataFrame, sample: int = 1500) -> DataFrame:
             out["chunk_id"].append(i), out["texto"].append(flat), out["clases"].append(sorted(classes))
         return out
 
-    cols = ["chunk_id", "texto", "fuente", "observatorio", "fixes"]
+    cols = ["chunk_id", "texto", "fuente", "observatorio", "fixes", "broken"]
     return map_columns(pdf, cols, "chunk_id string, texto string, clases array<string>", run).distinct()
 
 

@@ -145,3 +145,22 @@ def test_scans(spark):
     assert text["hyphen"].startswith("La oficina revisó los datos del puerto") and "TALLER" not in text["head"] and "12" not in text["page"]
     assert text["char"].startswith("La oficina revisó los datos del puerto y el comité documentó")
     assert scans.found(df.limit(0)).count() == 0
+
+
+def test_broken_words_beyond_the_known_ones(spark, monkeypatch):
+    """What is a broken word or a compound doesn't hang on the frequent words nor on the sample."""
+    monkeypatch.setattr(scans, "KNOWN_WORDS", 60)
+    rare = ["El informe describe un sobrevuelo zonal.", "Un vuelo cubre el puerto sobre el mar, y otro vuelo llega sobre el mar."]
+    clean = [{"chunk_id": f"c{i}", "texto": f"{t['texto']} {rare[1]} Un plan civico de orden militar."} for i, t in enumerate(corpus(200))]
+    clean += [{"chunk_id": f"r{i}", "texto": t} for i, t in enumerate([rare[0], "Un acuerdo zivico-molitar firme.", "Un texto contraofensivas nuevo."])]
+    rows = [
+        {"chunk_id": "broken", "texto": "La oficina revisó los datos sobre-\nvuelo del puerto y el comité\ncuestionó el plan de la ciudad."},
+        {"chunk_id": "compound", "texto": "La oficina revisó el plan zivico-\nmolitar de la ciudad y el comité\ncuestionó el plan de la ciudad."},
+        {"chunk_id": "own", "texto": "La oficina revisó el plan civico-\nmilitar de la ciudad y el comité\ncuestionó el plan de la ciudad."},
+        {"chunk_id": "twice", "texto": "La oficina revisó los datos del plan contra-\nofen-\nsivas de la ciudad, y el comité\ncuestionó el plan de la ciudad."},
+    ]
+    df = frame(spark, clean).unionByName(frame(spark, rows, formato="pdf"))
+    got = sorted((r.chunk_id, r.clase) for r in scans.found(df, 20).collect() if r.clase == "guion")
+    assert got == [("broken", "guion"), ("twice", "guion")]
+    text = {r.chunk_id: r.texto for r in scans.repaired(df, 20).collect()}
+    assert "datos sobrevuelo del" in text["broken"] and "zivico-molitar" in text["compound"] and "civico-militar" in text["own"] and "contraofensivas" in text["twice"]
