@@ -26,6 +26,7 @@ ABBREVIATIONS = r"\b(?:ee\.?\s?uu|ee|uu|dr|dra|sr|sra|ing|prof|fig|no|núm|num|v
 @dataclass(frozen=True)
 class Retrieval:
     top_k: int = 200
+    second_top_k: int = 100
     graph_candidates: int = 100
     refine: int = 60
     fragments: int = 10

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import RETRIEVAL
 from ..functions import vector as V
-from ..functions.encoder import encode
+from ..functions.encoder import HashEncoder, encode
 from ..operators import corpus as C
 from ..operators import quality as QC
 from ..operators import retrieval as R
-from ..session import load
+from ..session import cut, load
 from . import sqltext as Q
 from .vectors import hash_sql
 
@@ -21,11 +22,22 @@ def _parts(s, d):
     return frags, vectors, queries, load(s, d, "evidencia")
 
 
-def _pool(s, d):
-    """Candidates of the vector space and the graph, with their cosine and document."""
+#: The offline stand-in for the second encoder: as the common one, with buckets of its own.
+SECOND = HashEncoder(256)
+
+
+def _pool(s, d, whole: bool = True):
+    """Candidates of both vector spaces and the graph, with their cosine in the common space (R3) and document.
+
+    Every fragment with text has a vector in the common space, so none is encoded anew. Without ``whole``
+    only the 100 best of the common space are taken, as the SQL of the queries on single steps states.
+    """
     frags, vectors, queries, ev = _parts(s, d)
-    space = V.top_k(vectors, queries, 100).withColumnRenamed("id", "chunk_id")
-    pool = R.candidates([space], ev)
+    spaces = [V.top_k(vectors, queries, RETRIEVAL.top_k if whole else 100)]
+    if whole:
+        own = encode(load(s, d, "consultas"), "query_id", "consulta", SECOND).withColumnRenamed("id", "query_id")
+        spaces.append(V.top_k(encode(frags, "chunk_id", "texto", SECOND), own, RETRIEVAL.second_top_k))
+    pool = R.candidates([x.withColumnRenamed("id", "chunk_id") for x in spaces], ev)
     v = vectors.select(F.col("id").alias("chunk_id"), F.col("v").alias("cv"))
     q = queries.select("query_id", F.col("v").alias("qv"))
     rows = pool.join(v, "chunk_id").join(q, "query_id").withColumn("coseno", F.round(V.dot(F.col("qv"), F.col("cv")), 6)).drop("qv", "cv")
@@ -33,29 +45,29 @@ def _pool(s, d):
 
 
 def candidate_union(s, d):
-    return _pool(s, d).select("query_id", "chunk_id", "origen", "coseno")
+    return _pool(s, d, False).select("query_id", "chunk_id", "origen", "coseno")
 
 
-def _fused(s, d):
-    return R.fused(_pool(s, d), load(s, d, "evidencia"))
+def _fused(s, d, whole: bool = True):
+    return R.fused(_pool(s, d, whole), load(s, d, "evidencia"))
 
 
 def zscore_fusion(s, d):
-    return _fused(s, d).select("query_id", "chunk_id", "p")
+    return _fused(s, d, False).select("query_id", "chunk_id", "p")
 
 
 def fragments_top10_capped(s, d):
-    return R.capped(R.best(_fused(s, d), 60)).select("query_id", "rank", "chunk_id", "doc_id", "p")
+    return R.capped(R.best(_fused(s, d, False), 60)).select("query_id", "rank", "chunk_id", "doc_id", "p")
 
 
 def documents_top3(s, d):
-    return R.documents(R.best(_fused(s, d), 60)).select("query_id", "rank", "doc_id", F.col("puntos"))
+    return R.documents(R.best(_fused(s, d, False), 60)).select("query_id", "rank", "doc_id", F.col("puntos"))
 
 
 def hybrid_results(s, d):
     """Both fusions, the second over the refined fragments, up to the nested result."""
     frags, _, queries, ev = _parts(s, d)
-    top = R.best(_fused(s, d), 60).select("query_id", "chunk_id", "doc_id", "fuente", "coseno")
+    top = cut(R.best(_fused(s, d), 60).select("query_id", "chunk_id", "doc_id", "fuente", "coseno"))  # else each use searches anew
     texts = top.join(frags.select("chunk_id", "texto"), "chunk_id")
     windows = R.best_window(texts, queries)
     again = top.drop("coseno").join(windows, ["query_id", "chunk_id"]).withColumnRenamed("coseno_refinado", "coseno")

@@ -189,3 +189,24 @@ def test_append_is_idempotent(spark, tmp_path):
     assert I.positional(line, spark.createDataFrame([(0, [1.0])], "linea int, embedding array<double>")).count() == 1
     with pytest.raises(ValueError):
         I.positional(line, line.limit(0))
+
+
+def test_retrieval_searches_both_spaces(spark, tmp_path):
+    """200 of the common space and 100 of the second one reach the pool, with cosines of the common space."""
+    from riverloom.plans import retrievals
+
+    rng = np.random.default_rng(3)
+    words = [f"palabra{i}" for i in range(300)]
+    texts = {f"c{i:03}": " ".join(rng.choice(words, 30)) for i in range(400)}
+    question = " ".join(rng.choice(words, 12))
+    spark.createDataFrame([(k, "d", "f", t, 1) for k, t in texts.items()], "chunk_id string, doc_id string, fuente string, texto string, cargado_en int").write.parquet(f"{tmp_path}/metadata.parquet")
+    spark.createDataFrame([("q001", question)], "query_id string, consulta string").write.parquet(f"{tmp_path}/consultas.parquet")
+    spark.createDataFrame([], "query_id string, chunk_id string, score double").write.parquet(f"{tmp_path}/evidencia.parquet")
+    want, cosines = {}, {}
+    for i, (enc, k) in enumerate(((HashEncoder(), 200), (retrievals.SECOND, 100))):
+        score = dict(zip(texts, np.round(enc.encode(list(texts.values())) @ enc.encode([question])[0], 6)))
+        cosines = cosines or score
+        want |= {c: i for c in sorted(texts, key=lambda c: (-score[c], c))[:k]}
+    pool = {r.chunk_id: (r.origen, r.coseno) for r in retrievals._pool(spark, str(tmp_path)).collect()}
+    assert len(pool) > 200 and {c: o for c, (o, _) in pool.items()} == want
+    assert all(abs(x - cosines[c]) < 2e-6 for c, (_, x) in pool.items())
