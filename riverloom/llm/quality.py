@@ -135,8 +135,9 @@ def classify(text: str, common: float, bullets: float) -> tuple[str, str]:
     if not text.strip():
         return "vacio", ""
     marks = "...." in text or ". . ." in text or "……" in text or "\t" in text or ";" in text
-    if common >= 0.25 and bullets <= 0.3 and "|" not in text and not (marks and _LEADERS.search(text)):
-        return "prosa", f"palabras comunes {common:.2f}"
+    if common >= 0.25 and not bullets and "|" not in text and ". . ." not in text and "...." not in text and "……" not in text and not (marks and _LEADERS.search(text)):
+        if "\n" not in text or sum(map(str.isdigit, text)) < 0.06 * len(text):
+            return "prosa", f"palabras comunes {common:.2f}"
     lines = text.split("\n")
     weight: dict[str, int] = {}
     shorts = []

@@ -164,3 +164,11 @@ def test_broken_words_beyond_the_known_ones(spark, monkeypatch):
     assert got == [("broken", "guion"), ("twice", "guion")]
     text = {r.chunk_id: r.texto for r in scans.repaired(df, 20).collect()}
     assert "datos sobrevuelo del" in text["broken"] and "zivico-molitar" in text["compound"] and "civico-militar" in text["own"] and "contraofensivas" in text["twice"]
+
+
+def test_texts_with_common_words_are_read_by_lines():
+    """Tables and lists whose cells are full of function words."""
+    table = "tasa de la zona  1.234  5.678\ncasos en el mes  2.345  6.789\nuso de la red  3.456  7.891"
+    mixed = "Los datos de la zona y de la red son los que siguen en la lista:\n- mapa de la zona\n" + "y el plan de la oficina para el puerto de la ciudad es el del mes\n" * 3
+    assert quality.kinds([table], [False])[0][0] == "tabla"
+    assert quality.kinds([mixed], [False])[0][1].startswith("prosa ")
