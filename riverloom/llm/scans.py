@@ -38,7 +38,6 @@ _PAGE = re.compile(
 )
 _PAGE_HEAD = re.compile(r"(?:\s{2,}|\s*[|·—–-]\s+)(?P<n>\d{1,6})\s*$|^\s*(?P<m>\d{1,6})(?:\s{2,}|\s*[|·—–]\s*)(?=\S)")
 _RECORD = re.compile(r"^\W*\d[\d.,   ]*[.,]\d[\d.,   ]*\W*$")
-_PROSE_LINE = re.compile(r"\b(?:de la|que|the|und|les|con|del|para|com|dans|der|die|of|los|las|a|el|y)\b [^\W\d_]+ [^\W\d_]+")
 _WORDS = re.compile(r"[^\W\d_]+")
 #: Stands before a mark at the end of a line as long as it isn't decided whether it breaks a word.
 JOINT = "\ufdd0"
@@ -185,7 +184,7 @@ class LineModel:
                     page = drop[i] = True
                     continue
             c = s[0]
-            if len(s) <= 84 and (not c.isalnum() or c.isupper() or c.isdigit()) and s[-1] not in ".!?…,;»”" and (len(s) < 0.8 * width or not _PROSE_LINE.search(s)):
+            if len(s) <= 84 and (not c.isalnum() or c.isupper() or c.isdigit()) and s[-1] not in ".!?…,;»”":
                 if about is None:
                     about = _source_words(source, place)
                 before, after = lines[i - 1] if i else "", lines[i + 1].lstrip() if i + 1 < len(lines) else ""

@@ -172,3 +172,11 @@ def test_texts_with_common_words_are_read_by_lines():
     mixed = "Los datos de la zona y de la red son los que siguen en la lista:\n- mapa de la zona\n" + "y el plan de la oficina para el puerto de la ciudad es el del mes\n" * 3
     assert quality.kinds([table], [False])[0][0] == "tabla"
     assert quality.kinds([mixed], [False])[0][1].startswith("prosa ")
+
+
+def test_wide_headers_are_scored():
+    """A header with function words that is the widest line goes through the classifier too."""
+    header = "Observatorio de la Cuenca Alta"
+    model = scans.LineModel(scans.train_lines([(" ".join(ES), None, None)] * 20), {})
+    *_, tests, _ = model._lines(f"La oficina revisó los datos\n{header}\ndel puerto y el comité", None, "observatorio_de_la_cuenca_alta")
+    assert 1 in [i for i, _ in tests]
