@@ -7,6 +7,12 @@ import numpy as np
 _MIX = np.array([2654435761, 2246822519, 3266489917, 668265263, 374761393], dtype=np.uint32)
 
 
+def _lower(t: str) -> str:
+    """Lower case, character for character, so that offsets stay those of the text."""
+    low = t.lower()
+    return low if len(low) == len(t) else "".join(x if len(x := c.lower()) == 1 else c for c in t)
+
+
 class Batch:
     """Lower-cased texts with digits as 0, joined into one array of code points.
 
@@ -14,7 +20,7 @@ class Batch:
     """
 
     def __init__(self, texts: list[str]):
-        low = [t.lower() for t in texts]
+        low = [_lower(t) for t in texts]
         joined = "\n\0".join(low) + "\n\0" if low else ""
         self.codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).copy()
         digit = (self.codes >= 48) & (self.codes <= 57)
@@ -33,7 +39,7 @@ class Batch:
 
 
 def tables(positive: list[str], negative: list[str], order: int, bits: int, smooth: float = 1.0, scale: float = 2e5) -> np.ndarray:
-    """log(p / q) of each hashed n-gram, shrunk towards 0 where both are rare."""
+    """log(p / q) of each hashed n-gram, shrunk towards 0 where both are rare; counts of a small text are raised fourfold at most."""
     p, q = (np.bincount(Batch(x).hashes(order, bits), minlength=1 << bits).astype(np.float64) for x in (positive, negative))
-    p, q = p * scale / max(1, p.sum()), q * scale / max(1, q.sum())
+    p, q = p * min(4.0, scale / max(1, p.sum())), q * min(4.0, scale / max(1, q.sum()))
     return np.log((p + smooth) / (q + smooth)).astype(np.float32)

@@ -11,6 +11,7 @@ def queries():
         "p1_found": lambda s, d: language.found(load(s, d, "metadata")),
         "p1_languages": lambda s, d: language.languages(load(s, d, "metadata")).dropDuplicates(["chunk_id"]),
         "p2_found": lambda s, d: residue.found(load(s, d, "metadata")),
+        "p2_windows": lambda s, d: residue.residue_windows(load(s, d, "metadata")),
         "p3_found": lambda s, d: scans.found(load(s, d, "metadata")),
         "p3_repaired": lambda s, d: scans.repaired(load(s, d, "metadata")),
         "p4_found": lambda s, d: encoding.found(load(s, d, "metadata")),

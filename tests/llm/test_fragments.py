@@ -71,7 +71,7 @@ PROSE = [
 
 def test_residue(spark):
     rows = [{"chunk_id": f"r{i}", "texto": f"{ES[0]} {t}"} for i, t in enumerate(RESIDUE)] + [{"chunk_id": f"p{i}", "texto": t} for i, t in enumerate(PROSE)]
-    df = frame(spark, corpus() + rows + rows[:1] + [{"chunk_id": "n", "texto": None}, {"chunk_id": "e", "texto": ""}])
+    df = frame(spark, corpus(900) + rows + rows[:1] + [{"chunk_id": "n", "texto": None}, {"chunk_id": "e", "texto": ""}])
     got = sorted(r.chunk_id for r in residue.found(df).collect())
     assert got == [f"r{i}" for i in range(len(RESIDUE))]
     kept = residue.keep(df)
