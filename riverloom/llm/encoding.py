@@ -62,6 +62,8 @@ def cost(token: str) -> float:
             total += 12
         elif 0x80 <= o < 0xA0:
             total += 10
+        elif o < 0x250 and c.isalpha() or 0x1E00 <= o < 0x1F00:  # letters of other Latin-script languages, where they may stand
+            total += OTHER if c.islower() or not before.isalpha() and (after.islower() or not after.isalpha()) or before.isupper() else 5
         elif o < 0x250:
             total += 5
         elif 0x2500 <= o < 0x25A0:
@@ -141,33 +143,37 @@ def neighbours(s: str):
                     pass
 
 
+#: Cost of a Latin letter that isn't in use in the corpus's own languages.
+OTHER = 2.0
 STEP = 0.75
+#: Operations a path may have, and what a single one may add to the cost.
+DEPTH, RISE = 4, 4.0
 #: A repair must lower the cost by so much a step.
 GAIN = 3.0
 
 
 @lru_cache(1 << 17)
-def search(token: str, most: int = 200) -> tuple[str, tuple[str, ...]]:
+def search(token: str) -> tuple[str, tuple[str, ...]]:
     """Best-first search from a token: the cheapest string reachable, and the operations that lead there.
 
     States are strings, kept in a visited set; the queue is ordered by character cost plus ``STEP`` for
-    each operation. ``most`` bounds the states expanded for one token.
+    each operation. The graph is searched to its end: DEPTH operations, none of which may raise the cost by more than RISE.
     """
     start = cost(token)
     best, best_cost, best_path = token, start, ()
     queue = [(start, 0, token, ())]
     seen = {token}
     count = 0
-    while queue and count < most:
+    while queue:
         f, _, s, path = heapq.heappop(queue)
         count += 1
         total = cost(s) + STEP * len(path)
         if total < best_cost - 1e-9:
             best, best_cost, best_path = s, total, path
-        if len(path) >= 4 or cost(s) == 0 and path:
+        if len(path) >= DEPTH or cost(s) == 0 and path:
             continue
         for name, t in neighbours(s):
-            if t not in seen and cost(t) <= cost(s) + 4:
+            if t not in seen and cost(t) <= cost(s) + RISE:
                 seen.add(t)
                 heapq.heappush(queue, (cost(t) + STEP * (len(path) + 1), count * 100 + len(seen), t, (*path, name)))
     if start - best_cost >= GAIN or best_path and best_path[0] in ("html", "percent", "quoted", "escape"):
@@ -185,6 +191,13 @@ _FILE_ODD = re.compile(rf"[^ \n\r\t_/]*?(?:[^\x00-\x7f]|{_MARKUP})[^ \n\r\t_/]*"
 _GAP, _FILE_GAP = re.compile(r"[ \n\r\t]+"), re.compile(r"[ \n\r\t_/]+")
 _SYMBOLS = re.compile(r"[#~=+<>^|*_/\\□■◊§¶†‡]")
 _SUSPECT = re.compile(rf"[^\x00-\x7f]|[^\W\d_]\?+[^\W\d_.]|[^\W\d_]\? [a-z]|[\s:(]\?\w|{_MARKUP}")
+#: What no language has within a word: a sign between letters or after one, a capital after a small letter.
+_STRANGE = re.compile(r"[^\W\d_][¢£¤¥§©«¬®¯°±¶·¸»¼½¾¿¡‚„ˆ‹›˜´¨¦]|[¢£¤¥©¬®¯±¶¸¼½¾‚ˆ˜´¨¦][^\W\d_]|[a-zß-öø-ÿ][À-ÖØ-Þ]|[^\W\d_]¡")
+# Words that open a question.
+_ASKS = frozenset(
+    """why what who whom whose how when where which is are was were do does did can could will would should has have had may wer was wie wo warum wann welche welcher wieso wem wen ist sind hat haben kann
+    qui que quoi où comment pourquoi quand est quel quelle quels quelles faut quem como quando onde por qual quais o há será and und et e but mais aber""".split()
+)
 _FILE_HOLE = re.compile(r"\?")
 _HOLE = re.compile(r"(?<![/=&\w.-])[^\W\d_]*(?:[^\W\d_]\?+[^\W\d_]+)+(?![=\w])")
 _STOPPED = re.compile(r"[^\W\d_]\?\.(?!\.)|(?<=[\s:(])\?(?=[^\W\d_]{2})")
@@ -235,6 +248,12 @@ def analyse(text: str, file: bool = False) -> tuple[str, str, list[str]] | None:
 
         ways = {p: through(p) for p in paths}
         main = min(paths, key=lambda p: (sum(cost(ways[p].get(t) or fixed.get(t, t)) for t in odd) + STEP * len(p) - paths[p] * 0.01, p))
+        # a text with whole words that speak against a swap of one-byte charsets wasn't decoded by it
+        for p, n in paths.items():
+            if _swap(p) and sum(_plain(t) and ((u := _apply(t, p)) is None or u != t and cost(u) >= cost(t) + 0.6) for t in odd) >= n:
+                fixed = {t: u for t, u in fixed.items() if search(t)[1] != p or _STRANGE.search(t)}
+                ways[p] = {}
+        paths = {p: n for p, n in paths.items() if ways[p] or any(search(t)[1] == p for t in fixed)}
         fixed |= ways[main]
     if "?" in text:
         lost = lost or (bool(_FILE_HOLE.search(text)) if file else _holes(text))
@@ -246,12 +265,24 @@ def analyse(text: str, file: bool = False) -> tuple[str, str, list[str]] | None:
     return state, out, [">".join(p) for p in paths]
 
 
+def _swap(path: tuple[str, ...]) -> bool:
+    """Only from one charset of single bytes to another, where every byte is a character and little speaks for itself."""
+    return all(">" in op and not op.endswith(">utf-8") for op in path)
+
+
+def _asks(text: str, at: int) -> bool:
+    """The mark at ``at`` closes a question: what it ends begins with a word that asks."""
+    begin = max(text.rfind(c, 0, at) for c in ".!?…\n“«\"„—:,;")
+    word = re.match(r"[^\w]*([^\W\d_]+)", text[begin + 1 : at])
+    return bool(word) and word[1].lower() in _ASKS
+
+
 def _holes(text: str) -> bool:
     """Question marks in the place of letters. A single one after a whole word may just lack its space.
 
     A mark before a full stop, or before a small letter with no question open, closes nothing.
     """
-    if "???" not in text and (_STOPPED.search(text) or "¿" not in text and _WITHIN.search(text)):
+    if "???" not in text and (_STOPPED.search(text) or "¿" not in text and any(not _asks(text, m.start() + 1) for m in _WITHIN.finditer(text))):
         return True
     holes = _HOLE.findall(text)
     if len(holes) == 1 and text.count("?") == 1:

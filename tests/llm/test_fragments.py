@@ -117,6 +117,19 @@ def test_encoding_search():
         assert encoding.analyse(clean) is None, clean
 
 
+# Names of twenty-odd Latin-script languages.
+NAMES = "Miloš Škoda Čapek Žižka Dvořák Łódź Wałęsa Żółć Søren Bjørn Ødegård Åsa Ærø Erdoğan İstanbul Çelik Şahin Ősz Győr Ștefan Țepeș Đorđević Ćosić Šešelj Jānis Ģirts Ąžuolas Šiauliai Tõnu Þórr Eiður Sæmundur Ciarán Ħamrun Nguyễn Đặng Gašper Župančič Höfði"
+
+
+def test_sound_text_stays():
+    for n in NAMES.split():
+        for s in (n, f"La señora {n} llegó a la reunión.", f"Según {n} y Pérez, la región perdió más bosque."):
+            assert encoding.analyse(s) is None, s
+    for s in ("Why? because he left.", "Was ist das? fragte er.", "Qui vient? demanda-t-il.", "La señora Bjørn Ødegård llegó."):
+        assert encoding.analyse(s) is None, s
+    assert encoding.analyse("La comit? habló de la regi?n.")[0] == "perdido"
+
+
 def test_encoding_rows(spark):
     bad = damaged("Según la guía, llegó", "cp1252")
     rows = [{"chunk_id": "t", "texto": bad}, {"chunk_id": "t", "texto": bad}, {"chunk_id": "f", "texto": None, "fuente": damaged("Crónica_del_río_1.pdf", "cp1252")}, {"chunk_id": "q", "texto": "x", "fuente": "Cr?nica_del_r?o.pdf"}, {"chunk_id": "ok", "texto": "Según", "fuente": None}]
