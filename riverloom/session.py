@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -30,19 +32,35 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the cluster's shared checkpoint folder and cut its lineage.
+def _shared(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder: the context's, else the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests, local runs) a
-    temporary one is made.
+    Where neither is set, a run within one process (``local[n]``, as in tests) makes a folder of its own; a cluster raises.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="riverloom-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            folder = tempfile.mkdtemp(prefix="riverloom-")
+        if not folder:
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder)
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the cluster's shared checkpoint folder and cut its lineage."""
+    _shared(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table of the shared folder: cuts the lineage as ``cut`` does, and later reads take only the columns they need."""
+    path = f"{_shared(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small(df: DataFrame, most: int = 50_000) -> DataFrame:
     """``df`` with a broadcast hint where it has at most ``most`` rows; beyond that Spark joins it by shuffle or in blocks.
 
