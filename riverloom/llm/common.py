@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut, ship
+from ..session import cut, ship, stored
 
 TOKENIZER_DIR = "/opt/tokenizers"
 
@@ -54,4 +54,4 @@ def sample_texts(fragments: DataFrame, n: int) -> list[str]:
     return [r.texto for r in picked.limit(2 * n).collect()]
 
 
-__all__ = ["cut", "map_columns", "sample_texts", "spread", "tokenizer_bytes"]
+__all__ = ["cut", "map_columns", "sample_texts", "spread", "stored", "tokenizer_bytes"]

@@ -6,6 +6,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship
 from . import sentences
-from .common import map_columns, spread
+from .common import map_columns, spread, stored
 
 #: Hashed terms, rank of the latent space, words of a window, step between windows of documents and of items.
 TERMS, RANK, WINDOW, STEP, ITEM_STEP = 1 << 15, 80, 18, 7, 4
@@ -23,6 +24,8 @@ COSINE = 0.5
 #: What a leak is: so many consecutive words of the passage, with at most one in CHANGED of them changed.
 LEAST, CHANGED = 15, 10
 _BLOCKS = 64
+#: Items that are searched at once: with their windows and vectors about 100 MB at most for items of a page.
+ITEM_BLOCK = 2000
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+")
 _SOLID = re.compile(r"[฀-๿຀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿]")
 _TABLE = {i: None for i in range(0x0300, 0x0370)} | {i: None for i in (0xAD, 0x200B, 0x200C, 0x200D, 0x200E, 0x200F, 0x2060, 0xFEFF)}
@@ -107,24 +110,60 @@ def _gram(t: np.ndarray, w: np.ndarray, q: np.ndarray, into: np.ndarray) -> None
         into[keys] += np.add.reduceat(values, starts, axis=0)
 
 
-def _batches(batches: Iterator[pa.RecordBatch], column: int):
+def hashed(documents: DataFrame) -> DataFrame:
+    """(doc_id, text, ids): the hashed terms of each text that has any, tokenised once and written to the shared folder; later steps read only what they need."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = Vectors(np.ones(TERMS))
+        for b in batches:
+            ids = [v.ids(words(t)) if t else _NONE for t in b.column(1).to_pylist()]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+            flat = np.concatenate([_NONE, *ids]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "text", "ids"])
+
+    kind = dict(documents.dtypes)["doc_id"]
+    rows = spread(documents.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, text string, ids array<int>")
+    return stored(rows.where(F.size("ids") > 0))
+
+
+_NONE = np.zeros(0, dtype=np.int64)
+
+
+def _lists(batches: Iterator[pa.RecordBatch]):
+    """The hashed terms of each text of a batch."""
     for b in batches:
-        yield [w for w in (words(t) for t in b.column(column).to_pylist() if t) if w]
+        c = b.column(0)
+        flat, ends = np.asarray(c.flatten(), dtype=np.int64), np.cumsum(np.asarray(c.value_lengths()))
+        yield np.split(flat, ends[:-1]) if len(c) else []
+
+
+def _gathered(ids: DataFrame) -> DataFrame:
+    """As many tasks as the cluster runs at once, twice over: each adds up its own part, so what is shuffled doesn't grow with the corpus."""
+    most = 2 * ids.sparkSession.sparkContext.defaultParallelism
+    return ids.select("ids").coalesce(most)
 
 
 def _sum_blocks(parts: DataFrame, size: int) -> np.ndarray:
-    """Add up matrices of ``size`` numbers that come as blocks of rows, in two rounds, so that no task gets them all."""
-    import pandas as pd
-
-    def add(key, pdf):
-        total = np.zeros(len(pdf.part.iloc[0]) // 4, dtype=np.float64)
-        for p in pdf.part:
-            total += np.frombuffer(p, dtype=np.float32)
-        return pd.DataFrame({"block": [key[0]], "salt": [0], "part": [total.astype(np.float32).tobytes()]})
-
-    schema = "block int, salt int, part binary"
-    once = parts.groupBy("block", "salt").applyInPandas(add, schema)
-    rows = once.groupBy("block").applyInPandas(add, schema).collect()
+    """Add up matrices of ``size`` numbers that come as blocks of rows, as a tree: SALTS sums a block, then one.
+
+    A task adds row by row and holds one block of each key at a time, whatever the number of parts.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple[int, int], np.ndarray] = {}
+        for b in batches:
+            for k, salt, p in zip(*(b.column(i).to_pylist() for i in range(3))):
+                x = np.frombuffer(p, dtype=np.float32)
+                if (k, salt) in total:
+                    total[k, salt] += x
+                else:
+                    total[k, salt] = x.astype(np.float64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _ in total], pa.int32()), pa.array([0] * len(total), pa.int32()), pa.array([t.astype(np.float32).tobytes() for t in total.values()], pa.binary())], names=["block", "salt", "part"]
+        )
+
+    once = parts.repartition(_BLOCKS, "block", "salt").mapInArrow(add, _PARTS)
+    rows = once.repartition(max(1, _BLOCKS // 8), "block").mapInArrow(add, _PARTS).collect()
     if not rows:  # no partition had a row
         return np.zeros(size, dtype=np.float32)
     return np.concatenate([np.frombuffer(r.part, dtype=np.float32) for r in sorted(rows, key=lambda r: r.block)])
@@ -146,30 +185,26 @@ def _salt() -> int:
     return (TaskContext.get().partitionId() if TaskContext.get() else 0) % 32
 
 
-def document_frequencies(texts: DataFrame) -> np.ndarray:
+def document_frequencies(ids: DataFrame) -> np.ndarray:
     """Documents that hold each hashed term, over the whole corpus; TERMS numbers come to the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, total = Vectors(np.ones(TERMS)), np.zeros(TERMS)
-        for docs in _batches(batches, 0):
-            for ws in docs:
-                total[np.unique(v.ids(ws))] += 1
-        yield _blocks_of(total, _salt())
-
-    return _sum_blocks(texts.mapInArrow(run, _PARTS), TERMS)
+    own = ids.select(F.explode(F.array_distinct("ids")).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+    total = np.zeros(TERMS)
+    for r in own.collect():  # TERMS rows at most
+        total[r.t] = r.n
+    return total
 
 
-def latent_space(texts: DataFrame, own: list[list[str]], turns: int = 2, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+def latent_space(ids: DataFrame, own: list[np.ndarray], turns: int = 2, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(idf, basis): randomised SVD of the TF-IDF windows of the corpus and of the items, of equal weight.
 
     Each turn adds up A'(A q) over the partitions (TERMS x RANK numbers) and makes q orthonormal; the
     items count as much as the corpus, so that the space holds their words, rare as they are there.
     """
-    n = max(1, texts.count())
-    idf = np.log1p(n / (1.0 + document_frequencies(texts)))
-    sc = texts.sparkSession.sparkContext
+    n = max(1, ids.count())
+    idf = np.log1p(n / (1.0 + document_frequencies(ids)))
+    sc = ids.sparkSession.sparkContext
     v = Vectors(idf)
-    mine = [v.windows(v.ids(ws), ITEM_STEP) for ws in own if ws]
+    mine = [v.windows(x, ITEM_STEP) for x in own if len(x)]
     q = np.random.default_rng(seed).standard_normal((TERMS, RANK)).astype(np.float32)
     for _ in range(turns):
         shared = sc.broadcast((idf.astype(np.float32), q))
@@ -177,13 +212,13 @@ def latent_space(texts: DataFrame, own: list[list[str]], turns: int = 2, seed: i
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             idf, q = shared.value
             v, total = Vectors(idf), np.zeros((TERMS, RANK), dtype=np.float32)
-            for docs in _batches(batches, 0):
-                got = [v.windows(v.ids(ws), WINDOW) for ws in docs]
+            for docs in _lists(batches):
+                got = [v.windows(x, WINDOW) for x in docs]
                 if got:
                     _gram(np.concatenate([t for t, _ in got]), np.concatenate([w for _, w in got]), q, total)
             yield _blocks_of(total, _salt())
 
-        y = _sum_blocks(texts.mapInArrow(run, _PARTS), TERMS * RANK).reshape(TERMS, RANK).astype(np.float64)
+        y = _sum_blocks(_gathered(ids).mapInArrow(run, _PARTS), TERMS * RANK).reshape(TERMS, RANK).astype(np.float64)
         e = np.zeros((TERMS, RANK), dtype=np.float32)
         for t, w in mine:
             _gram(t, w, q, e)
@@ -295,42 +330,54 @@ def leak_report(documents: DataFrame, items: DataFrame, cosine: float = COSINE)
     documents whose cosine to a window of an item in the latent space reaches ``cosine``; an alignment
     of common runs decides. ``respuesta`` tells whether the item's answer stands in the document too.
     The closing question of an item counts for nothing. Null and empty texts on either side give no
-    row; repeated documents give their rows once. The items (a held-out set, fixed in size) come to the
-    driver and are broadcast; documents never are.
+    row; repeated documents give their rows once. The items, a stated query set, come to the
+    driver and are broadcast in blocks of ITEM_BLOCK; documents never are.
     """
     spark = documents.sparkSession
     ship(spark)
     own = items_of(items)
-    texts = spread(documents.select("text"))
     if not own:
         return spark.createDataFrame([], RESULT)
-    idf, basis = latent_space(texts, [x.words for x in own])
+    corpus = hashed(documents)
+    v = Vectors(np.ones(TERMS))
+    idf, basis = latent_space(corpus, [v.ids(x.words) for x in own])
     v = Vectors(idf)
+    found_ = [_search(corpus, own[i : i + ITEM_BLOCK], v, idf, basis, cosine) for i in range(0, len(own), ITEM_BLOCK)]
+    return reduce(DataFrame.unionByName, found_)
+
+
+def _search(corpus: DataFrame, block: list[Item], v: Vectors, idf: np.ndarray, basis: np.ndarray, cosine: float) -> DataFrame:
+    """All documents against one block of items, whose window vectors are broadcast."""
+    spark = corpus.sparkSession
     rows, of = [], []
-    for k, x in enumerate(own):
+    for k, x in enumerate(block):
         z = _project(*v.windows(v.ids(x.words), ITEM_STEP), basis)
         rows.append(z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9))
         of.append(np.full(len(z), k))
     queries, of_item = np.concatenate(rows).astype(np.float32), np.concatenate(of)
-    shared = spark.sparkContext.broadcast((idf.astype(np.float32), basis, queries, np.flatnonzero(np.diff(of_item, prepend=-1)), own))
+    shared = spark.sparkContext.broadcast((idf.astype(np.float32), basis, queries, np.flatnonzero(np.diff(of_item, prepend=-1)), block))
 
     def run(d: dict[str, list]) -> dict[str, list]:
-        idf, basis, queries, starts, own = shared.value
+        idf, basis, queries, starts, block = shared.value
         v = Vectors(idf)
         out: dict[str, list] = {k: [] for k in ("doc_id", "item_id", "coseno", "palabras", "cambiadas", "respuesta")}
         for lo in range(0, len(d["text"]), 500):
-            docs = [words(t) if t else [] for t in d["text"][lo : lo + 500]]
-            live = [i for i, ws in enumerate(docs) if len(ws) >= 6]
+            lists = [np.asarray(x, dtype=np.int64) for x in d["ids"][lo : lo + 500]]
+            live = [i for i, x in enumerate(lists) if len(x) >= 6]
             if not live:
                 continue
-            got = [v.windows(v.ids(docs[i]), STEP) for i in live]
+            got = [v.windows(lists[i], STEP) for i in live]
             z = _project(np.concatenate([t for t, _ in got]), np.concatenate([w for _, w in got]), basis)
             z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
             first = np.concatenate([[0], np.cumsum([len(t) for t, _ in got])[:-1]])
             best = np.concatenate([np.maximum.reduceat(z[i : i + 2048] @ queries.T, starts, axis=1) for i in range(0, len(z), 2048)])
             best = np.maximum.reduceat(best, first, axis=0)
+            texts: dict[int, list[str]] = {}
             for a, k in zip(*np.nonzero(best >= cosine)):
-                x, ws = own[k], docs[live[a]]
+                x = block[k]
+                if a not in texts:
+                    texts[a] = words(d["text"][lo + live[a]])
+                ws = texts[a]
                 if hit := leaked(x, ws):
                     answer = words(x.answer) if x.answer else []
                     told = bool(answer) and f" {' '.join(answer)} " in f" {' '.join(ws)} "
@@ -338,7 +385,7 @@ def leak_report(documents: DataFrame, items: DataFrame, cosine: float = COSINE)
                         out[name].append(value)
         return out
 
-    return map_columns(documents, ["doc_id", "text"], RESULT, run)
+    return map_columns(corpus, ["doc_id", "text", "ids"], RESULT, run)
 
 
 def found(documents: DataFrame, items: DataFrame) -> DataFrame:
