@@ -76,10 +76,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, digits: int = 6, id_ty
                 own = np.array(b.column(0).to_pylist(), dtype=object)[keep]
                 m = np.asarray(column.flatten(), dtype=np.float64).reshape(len(keep), -1)
                 s = np.round(m @ q.T, digits)
+                # what can't be among the k best of this batch, or of all so far, isn't sorted
+                least = np.partition(s, len(s) - k, axis=0)[len(s) - k] if len(s) > k else np.full(len(ids), -np.inf)
                 for j in range(len(ids)):
                     if len(best) <= j:
                         best.append((own[:0], s[:0, j]))
-                    cand, score = np.concatenate([best[j][0], own]), np.concatenate([best[j][1], s[:, j]])
+                    floor = max(least[j], best[j][1][-1]) if len(best[j][1]) == k else least[j]
+                    top = np.flatnonzero(s[:, j] >= floor)
+                    if not len(top):
+                        continue
+                    cand, score = np.concatenate([best[j][0], own[top]]), np.concatenate([best[j][1], s[top, j]])
                     order = np.lexsort((cand.astype(own.dtype) if own.dtype != object else np.argsort(np.argsort(cand)), -score))[:k]
                     best[j] = (cand[order], score[order])
             if best:

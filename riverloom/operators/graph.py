@@ -18,16 +18,16 @@ NAME = r"\p{Lu}\p{L}{2,}(?: \p{Lu}\p{L}{2,}){0,3}"
 
 
 def mentions(fragments: DataFrame, cfg: Graph = GRAPH) -> DataFrame:
-    """(chunk_id, doc_id, fenomeno, node_id, surface, ord, texto), each node once a fragment."""
+    """(chunk_id, node_id, ord, surface, doc_id, fenomeno, relacion), each node once a fragment; repeats of a fragment fall together."""
     text = F.col("texto")
     names = F.regexp_extract_all(text, F.lit(NAME), F.lit(0))
     rows = fragments.where(F.length(F.trim(text)) >= cfg.min_text)
-    rows = rows.select("chunk_id", "doc_id", "fenomeno", "texto", F.posexplode(names).alias("ord", "raw"))
+    rows = rows.select("chunk_id", "doc_id", "fenomeno", T.relation(text).alias("relacion"), F.posexplode(names).alias("ord", "raw"))
     rows = rows.withColumn("surface", T.entity_surface(F.col("raw"))).withColumn("node_id", T.entity(F.col("surface")))
     rows = rows.where((F.length("node_id") >= cfg.min_length) & ~F.col("node_id").isin(*sorted(STOPWORDS)))
-    first = F.min(F.struct("ord", "surface", "doc_id", "fenomeno", "texto")).alias("f")
+    first = F.min(F.struct("ord", "surface", "doc_id", "fenomeno", "relacion")).alias("f")
     g = rows.groupBy("chunk_id", "node_id").agg(first)
-    return g.select("chunk_id", "node_id", "f.ord", "f.surface", "f.doc_id", "f.fenomeno", T.relation(F.col("f.texto")).alias("relacion"))
+    return g.select("chunk_id", "node_id", "f.ord", "f.surface", "f.doc_id", "f.fenomeno", "f.relacion")
 
 
 def nodes(m: DataFrame) -> DataFrame:
@@ -132,24 +132,42 @@ def phrase_nodes(queries: DataFrame, node_table: DataFrame, cfg: Graph = GRAPH,
 
 
 def entity_nodes(entities: DataFrame, node_table: DataFrame, cfg: Graph = GRAPH) -> DataFrame:
-    """(query_id, entidad) matched with a node exactly, else with nodes that hold it or that it holds."""
+    """(query_id, entidad) matched with a node exactly, else with nodes that hold it or that it holds.
+
+    A phrase within word bounds has all its words in the other text, so the pairs come from a join on the
+    phrase's longest word; only names without any word are compared directly.
+    """
     e = entities.withColumn("id", T.entity(T.without_articles(F.col("entidad"))))
     n = node_table.select("node_id")
     exact = e.join(n, e.id == n.node_id).select("query_id", "entidad", "node_id")
     rest = e.join(exact.select("query_id", "entidad"), ["query_id", "entidad"], "left_anti").where(F.length("id") >= cfg.min_node)
     a, b = F.col("node_id"), F.col("id")
     near: Column = a.contains(b) & T.contains_phrase(a, b) | b.contains(a) & T.contains_phrase(b, a)
-    loose = small(rest).join(n.where(F.length("node_id") >= cfg.min_node), near).select("query_id", "entidad", "node_id")
+    words = lambda c: F.array_distinct(F.regexp_extract_all(c, F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)))
+    longest = lambda c: F.array_max(F.transform(words(c), lambda x: F.struct(F.length(x).alias("n"), x.alias("w"))))["w"]
+    n = n.where(F.length("node_id") >= cfg.min_node)
+    own = rest.select("query_id", "entidad", "id")
+    holds = n.withColumn("w", F.explode(words(F.col("node_id")))).join(own.withColumn("w", longest(b)), "w")
+    held = own.withColumn("w", F.explode(words(b))).join(n.withColumn("w", longest(a)), "w")
+    cols = ["query_id", "entidad", "id", "node_id"]
+    bare = F.size(words(b)) == 0
+    odd = small(own.where(bare)).join(n, near).select(*cols).unionByName(small(n.where(F.size(words(a)) == 0)).join(own, near).select(*cols))
+    loose = holds.select(*cols).unionByName(held.select(*cols)).where(near).unionByName(odd).select("query_id", "entidad", "node_id").distinct()
     return exact.unionByName(loose)
 
 
+def _at_edges(found: DataFrame, edge_table: DataFrame, end: str, *more: str) -> DataFrame:
+    """The fragments of the edges whose ``end`` is a found node; only those edges' lists are unfolded."""
+    e = edge_table.select("src", "dst", "chunk_ids", *more)
+    return found.join(e, F.col("node_id") == F.col(end)).withColumn("chunk_id", F.explode("chunk_ids")).drop("chunk_ids")
+
+
 def one_hop(found: DataFrame, m: DataFrame, edge_table: DataFrame) -> DataFrame:
     """(query_id, chunk_id, puntuacion): one for each direct mention and for each fragment of an edge that
     leaves or reaches a found node; an edge between two found nodes counts twice."""
-    e = edge_table.select("src", "dst", F.explode("chunk_ids").alias("chunk_id"))
     own = found.join(m, "node_id").select("query_id", "chunk_id")
-    out = found.join(e, F.col("node_id") == F.col("src")).select("query_id", "chunk_id")
-    back = found.join(e, F.col("node_id") == F.col("dst")).select("query_id", "chunk_id")
+    out = _at_edges(found, edge_table, "src").select("query_id", "chunk_id")
+    back = _at_edges(found, edge_table, "dst").select("query_id", "chunk_id")
     return own.unionAll(out).unionAll(back).groupBy("query_id", "chunk_id").agg(F.count(F.lit(1)).alias("puntuacion"))
 
 
@@ -165,8 +183,7 @@ def consult(queries: DataFrame, node_table: DataFrame, edge_table: DataFrame, en
     scores = one_hop(found, mentions_of(node_table), edge_table)
     w = Window.partitionBy("query_id").orderBy(F.desc("puntuacion"), "chunk_id")
     top = scores.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= cfg.evidence)
-    e = edge_table.select("src", "dst", F.explode("chunk_ids").alias("chunk_id"), F.concat_ws(" ", "src", "relacion", "dst").alias("r"))
-    e = e.join(top.select("chunk_id").distinct(), "chunk_id", "left_semi")
-    at = found.join(e, F.col("node_id") == F.col("src")).select("query_id", "chunk_id", "r").unionByName(found.join(e, F.col("node_id") == F.col("dst")).select("query_id", "chunk_id", "r"))
+    at = _at_edges(found, edge_table, "src", "relacion").unionByName(_at_edges(found, edge_table, "dst", "relacion")).select("query_id", "chunk_id", F.concat_ws(" ", "src", "relacion", "dst").alias("r"))
+    at = at.join(top.select("query_id", "chunk_id"), ["query_id", "chunk_id"], "left_semi")
     lists = at.groupBy("query_id", "chunk_id").agg(F.array_sort(F.collect_set("r")).alias("relaciones"))
     return top.join(lists, ["query_id", "chunk_id"], "left").select("query_id", "rank", "chunk_id", "puntuacion", F.coalesce("relaciones", F.array().cast("array<string>")).alias("relaciones"))

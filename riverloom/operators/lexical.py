@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import GRAPH, STOPWORDS, Graph
 from ..functions import text as T
-
+from ..session import small_enough
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -17,8 +17,15 @@ def query_terms(queries: DataFrame) -> DataFrame:
 
 def term_frequencies(fragments: DataFrame, queries: DataFrame) -> DataFrame:
     """Fragments that hold each term of the questions -> (token, df)."""
-    own = fragments.select(F.explode(F.array_distinct(T.tokens(F.coalesce("texto", F.lit(""))))).alias("token"))
-    return own.join(query_terms(queries), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    terms = query_terms(queries)
+    kept = terms.agg(F.collect_set("token").alias("terminos")) if small_enough(terms) else None
+    own = fragments.select("chunk_id", F.array_distinct(T.tokens(F.coalesce("texto", F.lit("")))).alias("t"))
+    if kept is not None:  # a bounded list of terms thins out each text before its words become rows
+        own = own.join(F.broadcast(kept)).select("chunk_id", F.array_intersect("t", "terminos").alias("t"))
+    rows = own.select("chunk_id", F.explode("t").alias("token"))
+    if kept is None:
+        rows = rows.join(terms, "token", "left_semi")
+    return rows.distinct().groupBy("token").agg(F.count(F.lit(1)).alias("df"))
 
 
 def ngrams(queries: DataFrame, cfg: Graph = GRAPH) -> DataFrame:

@@ -102,6 +102,20 @@ def with_variant(c: Column) -> Column:
     return F.when(t != plain, F.concat(t, F.lit(" ("), plain, F.lit(")"))).otherwise(t)
 
 
+# The wording of the texts that are made of municipalities; {} takes a value.
+SAY = {
+    "es_pt": "{} é um município do estado {} {}, Brasil", "es_pt_variante": "{} é um município do estado {} {}, Brasil — en español, {}, {} {} —", "es": "{} es un municipio {} {}, {}",
+    "poblacion": "una población de {} habitantes", "area": "una extensión de {} km²", "poblacion_pt": "uma população de {} habitantes", "area_pt": "uma extensão de {} km²",
+    "cifras": ", con {} en {}.", "sin_cifras": ", en {}.", "cifras_pt": ", com {} na Amazônia brasileira.", "sin_cifras_pt": ", na Amazônia brasileira.",
+    "segun": "Según el observatorio Amazon Underworld, {} se documenta la presencia de ", "aqui_pt": "en este municipio de {}", "aqui": "en este municipio", "territorio": "en este territorio",
+    "una": "una estructura armada", "dos": "dos estructuras armadas", "tres": "tres estructuras armadas", "varias": "{} estructuras armadas",
+    "local": "la estructura local", "locales": "las estructuras locales", "tambien": "También se identifica la estructura local", "tambien_varias": "También se identifican las estructuras locales",
+    "nada": "El observatorio Amazon Underworld no registra información verificada sobre presencia de grupos armados {}. La ausencia de registro no equivale a ausencia de actividad: refleja los límites de cobertura del observatorio.",
+    "terreno": "El municipio fue objeto de investigación directa en terreno por parte del observatorio.", "sin_terreno": "El municipio no fue objeto de investigación directa en terreno.",
+    "en_nada": "No verified information on armed group presence is available for {}, in {}.", "en": "Armed group presence in {}, in {}, is documented by the Amazon Underworld observatory.",
+}
+
+
 def group_lists(row_groups: Column, popup: Column) -> tuple[Column, Column]:
     """Groups by flag without the general label where the pop-up names groups, and names that only the pop-up has."""
     named = T.popup_names(popup)
@@ -131,44 +145,43 @@ def municipality_text(rows: DataFrame, portuguese: bool = True, english: bool =
 
     opening = F.when(
         pt,
-        F.when(same, say("{} é um município do estado {} {}, Brasil", muni, prep, depto)).otherwise(
-            say("{} é um município do estado {} {}, Brasil — en español, {}, {} {} —", muni_pt, prep, depto_pt, muni, division, depto)
+        F.when(same, say(SAY["es_pt"], muni, prep, depto)).otherwise(
+            say(SAY["es_pt_variante"], muni_pt, prep, depto_pt, muni, division, depto)
         ),
-    ).otherwise(say("{} es un municipio {} {}, {}", muni, division, depto, pais))
+    ).otherwise(say(SAY["es"], muni, division, depto, pais))
     people, area = T.thousands(F.nullif(F.col("poblacion"), F.lit(0.0))), T.thousands(F.bround("area_km2"))
     present = lambda a: F.filter(a, lambda x: x.isNotNull())
-    es = present(F.array(F.when(people.isNotNull(), say("una población de {} habitantes", people)), F.when(area.isNotNull(), say("una extensión de {} km²", area))))
-    br = present(F.array(F.when(people.isNotNull(), say("uma população de {} habitantes", people)), F.when(area.isNotNull(), say("uma extensão de {} km²", area))))
-    tail = F.when(pt, F.when(F.size(br) > 0, say(", com {} na Amazônia brasileira.", T.enumerated(br, "e"))).otherwise(F.lit(", na Amazônia brasileira."))).otherwise(
-        F.when(F.size(es) > 0, say(", con {} en {}.", T.enumerated(es), region)).otherwise(say(", en {}.", region))
+    es = present(F.array(F.when(people.isNotNull(), say(SAY["poblacion"], people)), F.when(area.isNotNull(), say(SAY["area"], area))))
+    br = present(F.array(F.when(people.isNotNull(), say(SAY["poblacion_pt"], people)), F.when(area.isNotNull(), say(SAY["area_pt"], area))))
+    tail = F.when(pt, F.when(F.size(br) > 0, say(SAY["cifras_pt"], T.enumerated(br, "e"))).otherwise(F.lit(SAY["sin_cifras_pt"]))).otherwise(
+        F.when(F.size(es) > 0, say(SAY["cifras"], T.enumerated(es), region)).otherwise(say(SAY["sin_cifras"], region))
     )
     groups, local = group_lists(F.col("grupos"), F.col("popup_es"))
     n, k = F.size(groups), F.size(local)
-    where = F.when(pt, say("en este municipio de {}", region)).otherwise(F.lit("en este territorio"))
-    amount = F.when(n == 1, "una estructura armada").when(n == 2, "dos estructuras armadas").when(n == 3, "tres estructuras armadas").otherwise(say("{} estructuras armadas", n.cast("string")))
-    according = say("Según el observatorio Amazon Underworld, {} se documenta la presencia de ", where)
+    where = F.when(pt, say(SAY["aqui_pt"], region)).otherwise(F.lit(SAY["territorio"]))
+    amount = F.when(n == 1, SAY["una"]).when(n == 2, SAY["dos"]).when(n == 3, SAY["tres"]).otherwise(say(SAY["varias"], n.cast("string")))
+    according = say(SAY["segun"], where)
     armed = F.when(n > 0, F.concat(according, amount, F.lit(": "), T.enumerated(groups), F.lit(".")))
-    lead = F.when(n > 0, F.when(k == 1, "También se identifica la estructura local").otherwise("También se identifican las estructuras locales")).otherwise(
-        F.concat(according, F.when(k == 1, "la estructura local").otherwise("las estructuras locales"))
+    lead = F.when(n > 0, F.when(k == 1, SAY["tambien"]).otherwise(SAY["tambien_varias"])).otherwise(
+        F.concat(according, F.when(k == 1, SAY["local"]).otherwise(SAY["locales"]))
     )
     locals_ = F.when(k > 0, F.concat(lead, F.lit(" "), T.enumerated(local), F.lit(".")))
-    here = F.when(pt, say("en este municipio de {}", region)).otherwise(F.lit("en este municipio"))
+    here = F.when(pt, say(SAY["aqui_pt"], region)).otherwise(F.lit(SAY["aqui"]))
     none = (n == 0) & (k == 0)
     nothing = F.when(
         none,
         say(
-            "El observatorio Amazon Underworld no registra información verificada sobre presencia de grupos armados {}. "
-            "La ausencia de registro no equivale a ausencia de actividad: refleja los límites de cobertura del observatorio.",
+            SAY["nada"],
             here,
         ),
     )
-    field = F.when(F.col("investigado"), "El municipio fue objeto de investigación directa en terreno por parte del observatorio.").when(
-        ~none, "El municipio no fue objeto de investigación directa en terreno."
+    field = F.when(F.col("investigado"), SAY["terreno"]).when(
+        ~none, SAY["sin_terreno"]
     )
     place = say("{}, {} {}, {}", muni1, depto1, _lookup(pais, 4, F.lit("Department")), _lookup(pais, 0, pais))
     region_en = _lookup(pais, 2, F.lit("the Amazon basin"))
-    anchor = F.when(none, say("No verified information on armed group presence is available for {}, in {}.", place, region_en)).otherwise(
-        say("Armed group presence in {}, in {}, is documented by the Amazon Underworld observatory.", place, region_en)
+    anchor = F.when(none, say(SAY["en_nada"], place, region_en)).otherwise(
+        say(SAY["en"], place, region_en)
     )
     parts = [F.concat(opening, tail), armed, locals_, nothing, field] + ([anchor] if english else [])
     return rows.withColumn("texto", F.concat_ws(" ", *parts))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import corpus as C
+from .maps import SAY
 
 FAIL, WARN = "FALLO", "AVISO"
 COUNTRIES = ("Colombia", "Brasil", "Venezuela", "Ecuador", "Perú", "Bolivia")
@@ -74,15 +76,16 @@ def municipalities(rows: DataFrame, expected: int = 985, tolerance: float = 0.10
 def map_texts(chunks: DataFrame, most: int = 250) -> DataFrame:
     """Q7, Q10: texts made from municipalities."""
     t = F.col("texto")
-    english = t.contains("Amazon") & t.rlike(r"\b(is documented by|is available for)\b")
-    portuguese = t.contains("é um município")
-    none, local = t.rlike("no registra información|No verified information"), t.rlike("estructuras? locales?|estructura local")
+    part = lambda *keys: "|".join(max(re.split(r"\{\}", SAY[k]), key=len).strip(" .,—") for k in keys)  # noqa: E731  the longest stretch between two values
+    english = t.rlike(part("en", "en_nada"))
+    portuguese = t.rlike(part("es_pt"))
+    none, local = t.rlike(part("nada", "en_nada")), t.rlike(f"{SAY['local'].split(' ', 1)[1]}|{SAY['locales'].split(' ', 1)[1]}")
     declared = T.declared_groups(t)
     plain = lambda c: (F.length(c) > 4) & (F.col(c) == T.without_accents(F.col(c)))
     rules = {
         "campos obligatorios": (FAIL, T.missing(t).isNull() | F.col("chunk_id").isNull() | F.col("doc_id").isNull()), "limite de palabras": (FAIL, F.size(T.words(t)) > most), "sin cierre": (FAIL, ~F.trim(t).rlike(r"[.!?]$")),
         "portugues fuera de Brasil": (FAIL, portuguese & (F.col("pais") != "Brasil")), "contradiccion": (FAIL, none & local), "grupos declarados": (WARN, declared.isNotNull() & ~local & (declared != F.col("n_grupos"))),
-        "mezcla de idiomas": (FAIL, t.rlike(r"é um município[^.]*\b(con una|y una extensión)\b")), "toponimos sin tilde": (WARN, plain("nivel1") | plain("nivel2")),
+        "mezcla de idiomas": (FAIL, portuguese & t.rlike(part("poblacion", "area"))), "toponimos sin tilde": (WARN, plain("nivel1") | plain("nivel2")),
     } | {k: (WARN, t.rlike(p)) for k, p in C.LINT.items()}
     share = C.signature_share(chunks).where(F.col("n") > 0.5 * F.col("total"))
     tail = chunks.agg(F.count(F.lit(1)).alias("t"), F.sum((~english).cast("int")).alias("n")).where((F.col("n") > 0) & (F.col("n") < F.col("t")))

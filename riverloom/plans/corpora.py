@@ -21,7 +21,8 @@ def latest_fragments(s, d):
 def chunk_position(s, d):
     m = C.latest(_m(s, d).select("chunk_id", "doc_id", "formato", "posicion", "cargado_en"))
     fmt = F.regexp_replace(F.lower("formato"), "[^a-z]", "")
-    u = C.union_partitions(m.where(fmt == "pdf"), m.where(fmt != "pdf"))
+    pdf = F.coalesce(fmt == "pdf", F.lit(False))
+    u = C.union_partitions(m.where(pdf), m.where(~pdf))
     return C.positions(u, "part", "posicion", "chunk_id").select("chunk_id", "nueva_posicion")
 
 
@@ -52,21 +53,21 @@ def missing_fields(s, d):
 
 
 def lint_patterns(s, d):
-    return C.lint(_m(s, d).select("chunk_id", "texto").distinct())
+    return C.lint(_m(s, d))
 
 
 def signature_share(s, d):
-    return C.signature_share(_m(s, d).select("chunk_id", "texto").distinct())
+    return C.signature_share(_m(s, d))
 
 
 def validate_chunks(s, d):
-    return C.validate_chunks(_m(s, d).select("chunk_id", "texto", "fenomeno").distinct())
+    return C.validate_chunks(_m(s, d))
 
 
 def word_statistics(s, d):
-    m = _m(s, d).select("chunk_id", "texto", F.regexp_replace(F.lower("formato"), "[^a-z]", "").alias("formato")).where("texto is not null").distinct()
-    n = F.size(T.words(F.col("texto")))
-    return m.withColumn("n", n).groupBy("formato").agg(F.min("n").alias("menor"), F.round(F.avg("n"), 4).alias("media"), F.max("n").alias("mayor"), F.count(F.lit(1)).alias("fragmentos"))
+    n = F.size(T.words(F.col("texto"))).alias("n")
+    m = _m(s, d).where("texto is not null").select("chunk_id", n, F.xxhash64("texto").alias("h"), F.regexp_replace(F.lower("formato"), "[^a-z]", "").alias("formato")).distinct()
+    return m.groupBy("formato").agg(F.min("n").alias("menor"), F.round(F.avg("n"), 4).alias("media"), F.max("n").alias("mayor"), F.count(F.lit(1)).alias("fragmentos"))
 
 
 def source_bijection(s, d):
@@ -102,7 +103,7 @@ QUERIES = {
     "chunk_position": (
         chunk_position,
         f"""with {Q.FRAG} select chunk_id, row_number() over (partition by doc_id order by case when regexp_replace(lower(formato), '[^a-z]', '', 'g') = 'pdf' then 0 else 1 end, posicion, chunk_id) - 1
-        as nueva_posicion from frag where formato is not null""",
+        as nueva_posicion from frag""",
     ),
     "position_contiguity": (
         position_contiguity,
@@ -149,8 +150,9 @@ QUERIES = {
     ),
     "stratified_sample": (
         stratified_sample,
-        f"""with {Q.FRAG}, r as (select fenomeno, chunk_id, row_number() over (partition by fenomeno order by coalesce(num_tokens, -1000000) desc, chunk_id) as rn, count(*) over (partition by fenomeno) as total from frag)
-        select fenomeno, chunk_id, rn from r where rn = 1 or rn = total // 2 + 1 or rn = total""",
+        f"""with {Q.FRAG}, r as (select fenomeno, chunk_id, coalesce(num_tokens, -1000000) as s, row_number() over (partition by fenomeno order by coalesce(num_tokens, -1000000) desc, chunk_id) as rn, count(*) over (partition by fenomeno) as total from frag),
+        z as (select *, min(case when s <= 0 then rn end) over (partition by fenomeno) as zero from r)
+        select fenomeno, chunk_id, rn from z where rn = 1 or rn = total // 2 + 1 or rn = coalesce(zero, total)""",
     ),
     "summary": (
         summary,

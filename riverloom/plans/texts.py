@@ -15,15 +15,15 @@ def text_normalize(s, d):
 
 
 def _texts(s, d):
-    return load(s, d, "metadata").select("chunk_id", "texto").where("texto is not null").distinct().where(T.strip(F.col("texto")) != "")
+    return load(s, d, "metadata").select("chunk_id", "texto").where("texto is not null").where(T.strip(F.col("texto")) != "")
 
 
 def sentence_split(s, d):
-    return _texts(s, d).select("chunk_id", T.sentences(F.col("texto")).alias("x")).select("chunk_id", F.size("x").cast("bigint").alias("n"), F.array_join("x", " ¦ ").alias("oraciones"))
+    return _texts(s, d).select("chunk_id", T.sentences(F.col("texto")).alias("x")).select("chunk_id", F.size("x").cast("bigint").alias("n"), F.array_join("x", " ¦ ").alias("oraciones")).dropDuplicates(["chunk_id"])
 
 
 def trim_sentences(s, d):
-    return _texts(s, d).select("chunk_id", T.trimmed(F.col("texto")).alias("recorte"))
+    return _texts(s, d).select("chunk_id", T.trimmed(F.col("texto")).alias("recorte")).dropDuplicates(["chunk_id"])
 
 
 def windows_250(s, d):

@@ -68,4 +68,9 @@ def small(df: DataFrame, most: int = 50_000) -> DataFrame:
     """
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    return F.broadcast(df) if small_enough(df, most) else df
+
+
+def small_enough(df: DataFrame, most: int = 50_000) -> bool:
+    """At most ``most`` rows; the count stops after them."""
+    return df.limit(most + 1).count() <= most

@@ -24,7 +24,7 @@ def _set(c: Column) -> Column:
 
 
 def read_nodes(spark: SparkSession, path: str) -> DataFrame:
-    """Nodes with their attributes; of nodes that share an id the first by text stays."""
+    """Nodes with their attributes; of nodes that share an id the first in the file stays."""
     k = _keys(spark, path)
     raw = spark.read.format("xml").option("rowTag", "node").schema(XML_NODE).load(path)
     rows = raw.select(
@@ -32,7 +32,7 @@ def read_nodes(spark: SparkSession, path: str) -> DataFrame:
         _set(_value(k, "node", "chunk_ids")).alias("chunk_ids"), _set(_value(k, "node", "doc_ids")).alias("doc_ids"),
     )
     rest = [c for c in rows.columns if c != "node_id"]
-    g = rows.groupBy("node_id").agg(F.min_by(F.struct(*rest), F.struct(F.col("texto").isNull(), "texto")).alias("r"))
+    g = rows.withColumn("_o", F.monotonically_increasing_id()).groupBy("node_id").agg(F.min_by(F.struct(*rest), "_o").alias("r"))
     return g.select("node_id", *[F.col(f"r.{c}").alias(c) for c in rest])
 
 
