@@ -22,18 +22,27 @@ COMMON = frozenset(
         "der die und das den von zu mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei einer um am sind noch wie einem über einen so zum war haben nur oder aber vor zur bis mehr durch"
     ).split()
 )
-#: Thresholds in the manner of the published heuristics for web text (function words, symbols, bullets, ends of lines).
+# Limits as published for web text. (least, most) of each statistic; beyond them a text fails the rule of that name.
+#: Gopher (Rae et al. 2021): words, mean word length, symbols a word, bullet lines, lines that end in an ellipsis, words with a letter, function words.
+#: FineWeb (Penedo et al. 2024): lines that end in punctuation, lines of under 30 characters.
+RULES = {
+    "palabras": (50, 100_000), "largo_medio": (3, 10), "signos_palabra": (0, 0.1), "vinetas": (0, 0.9), "elipsis": (0, 0.3), "alfabeticas": (0.8, 1), "frecuentes": (2, float("inf")),
+    "fin_puntuacion": (0.12, 1), "lineas_cortas": (0, 0.67),
+}
+#: Rules that say little of the kind: short fragments, and headings or page breaks within prose.
+WEAK = frozenset({"palabras", "fin_puntuacion", "lineas_cortas", "elipsis"})
+#: Shares by which a line's kind is told, and of a text's characters that one kind of lines needs.
 LIMITS = {
     "common_words": 0.20,  # prose has at least this share of function words
     "common_words_line": 0.12,  # a line of wrapped prose
-    "list_share": 0.5, "table_share": 0.5, "junk_share": 0.5,  # shares of a fragment's characters
+    "list_share": 0.5,  # share of a fragment's characters
     "digits_line": 0.10,  # a record holds at least this share of digits
     "symbols": 0.35,  # share of characters that are neither letters, digits nor white space
-    "vowels": 0.22,  # letters of readable words
     "odd_words": 0.5,  # words without a plausible shape
 }
 STATS = (
-    "palabras int, largo_medio double, simbolos double, digitos double, lineas int, fin_puntuacion double, vinetas double, comunes double, mayusculas double"
+    "palabras int, largo_medio double, simbolos double, digitos double, lineas int, fin_puntuacion double, vinetas double, comunes double, mayusculas double, "
+    "signos_palabra double, elipsis double, alfabeticas double, frecuentes int, lineas_cortas double"
 )
 _BULLET = re.compile(r"^\s*(?:[-–—*•▪·◦‣»>+]|o(?= )|\(?\d{1,3}[.)](?!\d)|\(\d{1,3}\)|\(?[a-zA-Z][.)]|\[\d{1,3}\])\s+\S")
 _LEADER = re.compile(r"(?:\.{3,}|(?:\. ){3,}|…{2,}|\t|\s{2,}|·{3,}|_{3,})\s*(?:p\.?\s*)?\d{1,4}\s*$")
@@ -51,7 +60,7 @@ _HEX = re.compile(r"^(?:0x)?[0-9a-f]{2}$|^[0-9a-f]{4,}$", re.I)
 _BULLETS = re.compile(_BULLET.pattern.replace(r"^\s*", r"^[ \t]*", 1), re.M)
 _LEADERS = re.compile(r"(?:\.{4}|(?:\. ){3}|…{2}|\t ?)\s*\d{1,4}[ \t]*$|;\d[^;\n]*;|\t\d[^\t\n]*\t", re.M)
 _LINE = re.compile(r"^.*\S", re.M)
-_END = re.compile(r"[.!?…:;»”\"')。！？।][ \t]*$", re.M)
+_FULL = frozenset(".!?…:;»”\"')。！？।")
 _KEYS = ("qwertyuiopasdfghjklñzxcvbnm", "mnbvcxzñlkjhgfdsapoiuytrewq")
 _LOWER_UPPER = re.compile(r"[a-z][A-Z]|[A-Za-z]\d|\d[A-Za-z]")
 
@@ -70,6 +79,8 @@ def odd(word: str) -> bool:
     w = word.lower()
     if len(w) < 3:
         return False
+    if len(set(w)) == 1:
+        return True
     if not any(c in _VOWELS for c in w):
         return len(w) > 3 and not word.isupper()
     return bool(_CLUSTER.search(w)) and len(w) < 12 or _key_run(w) or bool(_REPEAT.search(w)) and len(set(w)) < 5 and len(w) > 3
@@ -130,12 +141,17 @@ def line_kind(line: str) -> str:
     return "corta" if len(words) <= 6 else "prosa"
 
 
-def classify(text: str, common: float, bullets: float) -> tuple[str, str]:
-    """(kind, reason) of one text from its shares of common words and of bullet lines, else by lines."""
+def failures(stats: dict[str, list], i: int) -> list[str]:
+    """The published rules that text ``i`` fails, each with its value."""
+    return [f"{k} {v:.2f}" for k, (lo, hi) in RULES.items() if not lo <= (v := stats[k][i]) <= hi]
+
+
+def classify(text: str, common: float, bullets: float, failed: bool = False) -> tuple[str, str]:
+    """(kind, reason) of one text. A text that ``failed`` a rule is judged by its lines, as is one with few common words or marks of lists and tables."""
     if not text.strip():
         return "vacio", ""
     marks = "...." in text or ". . ." in text or "……" in text or "\t" in text or ";" in text
-    if common >= 0.25 and not bullets and "|" not in text and ". . ." not in text and "...." not in text and "……" not in text and not (marks and _LEADERS.search(text)):
+    if not failed and common >= 0.25 and not bullets and "|" not in text and ". . ." not in text and "...." not in text and "……" not in text and not (marks and _LEADERS.search(text)):
         if "\n" not in text or sum(map(str.isdigit, text)) < 0.06 * len(text):
             return "prosa", f"palabras comunes {common:.2f}"
     lines = text.split("\n")
@@ -178,20 +194,35 @@ def statistics(texts: list[str]) -> dict[str, list]:
     letter = ((codes | 32) >= 97) & ((codes | 32) <= 122) & (codes < 128) | (codes >= 0xC0) & ((codes < 0x2000) | (codes > 0x2BFF)) & (codes != 0xFFFD)
     dense = np.maximum(1, sizes - (add(space) - 1))
     letters = np.maximum(1, add(letter))
-    n = np.array([len(t.split()) for t in texts])
+    # words and lines begin where a character follows white space or a line break
+    before = np.concatenate([[True], space[:-1]]) if len(codes) else space
+    begins = ~space & before
+    n = add(begins)
     some = np.maximum(1, n)
-    lines = np.array([len(_LINE.findall(t)) for t in texts])
+    held = np.flatnonzero(begins)
+    lettered = np.zeros(len(codes), dtype=bool)
+    if len(held):
+        lettered[held] = np.add.reduceat(letter, held, dtype=np.int32) > 0
+    split = [t.lower().split() for t in texts]
+    rows = [_LINE.findall(t) if "\n" in t else [t] if t.strip() else [] for t in texts]
+    lines = np.array([len(x) for x in rows])
     full = np.maximum(1, lines)
+    frequent = [[w for w in ws if w in COMMON] for ws in split]
     return {
         "palabras": n.tolist(),
         "largo_medio": (np.where(n > 0, dense, 0) / some).tolist(),
         "simbolos": ((dense - add(letter) - add(digit)) / dense).tolist(),
         "digitos": (add(digit) / dense).tolist(),
         "lineas": lines.tolist(),
-        "fin_puntuacion": (np.array([len(_END.findall(t)) for t in texts]) / full).tolist(),
-        "vinetas": (np.array([len(_BULLETS.findall(t)) for t in texts]) / full).tolist(),
-        "comunes": (np.array([sum(map(COMMON.__contains__, t.lower().split())) for t in texts]) / some).tolist(),
+        "fin_puntuacion": (np.array([sum(x.rstrip()[-1:] in _FULL for x in xs) for xs in rows]) / full).tolist(),
+        "vinetas": (np.array([sum(bool(_BULLET.match(x)) for x in xs) for xs in rows]) / full).tolist(),
+        "comunes": (np.array([len(x) for x in frequent]) / some).tolist(),
         "mayusculas": (add(upper) / letters).tolist(),
+        "signos_palabra": (add((codes == 35) | (codes == 0x2026)) / some).tolist(),
+        "elipsis": (np.array([sum(x.rstrip().endswith(("...", "…")) for x in xs) for xs in rows]) / full).tolist(),
+        "alfabeticas": np.where(n > 0, add(lettered) / some, 1.0).tolist(),
+        "frecuentes": [len(set(x)) for x in frequent],
+        "lineas_cortas": (np.array([sum(len(x) < 30 for x in xs) for xs in rows]) / full).tolist(),
     }
 
 
@@ -203,18 +234,27 @@ def _shares(texts: list[str]) -> dict[str, list]:
     }
 
 
-def kinds(texts: list[str], residues: list[bool], stats: dict[str, list] | None = None) -> list[tuple[str, str]]:
+def kinds(texts: list[str], residues: list[bool], stats: dict[str, list] | None = None) -> list[tuple[str, list[str]]]:
+    """(kind, reasons) of each text: the rules it fails and what its lines say. Without ``stats`` only the shares of common words and bullets are looked at first."""
+    rules = stats is not None
     stats = stats or _shares(texts)
-    return [
-        ("residuo", "residuo de plantilla") if r else classify(t, c, v) for t, r, c, v in zip(texts, residues, stats["comunes"], stats["vinetas"])
-    ]
+    out = []
+    for i, (t, r) in enumerate(zip(texts, residues)):
+        why = failures(stats, i) if rules and t.strip() else []
+        if r:
+            out.append(("residuo", ["residuo de plantilla", *why]))
+            continue
+        k, said = classify(t, stats["comunes"][i], stats["vinetas"][i], any(w.split(" ", 1)[0] not in WEAK for w in why))
+        out.append((k, [said, *why] if said else why))
+    return out
 
 
 def text_statistics(fragments: DataFrame) -> DataFrame:
     """Statistics, kind and reason of each distinct fragment.
 
     -> (chunk_id, palabras, largo_medio, simbolos, digitos, lineas, fin_puntuacion, vinetas, comunes, mayusculas,
-    clase, razon). ``clase`` is prosa, lista, tabla, basura, residuo (problem 2) or vacio for null and
+    signos_palabra, elipsis, alfabeticas, frecuentes, lineas_cortas, clase, razones). ``razones`` has what decided on the
+    kind and then every rule of RULES that the text fails, with its value. ``clase`` is prosa, lista, tabla, basura, residuo (problem 2) or vacio for null and
     blank texts. Repeats of a fragment that differ in other columns give one row.
     """
     return _with_kind(fragments).distinct()
@@ -227,9 +267,9 @@ def _with_kind(fragments: DataFrame) -> DataFrame:
         texts = [t or "" for t in d["texto"]]
         stats = statistics(texts)
         found = kinds(texts, shared.value.flags(texts), stats)
-        return stats | {"chunk_id": d["chunk_id"], "clase": [k for k, _ in found], "razon": [r for _, r in found]}
+        return stats | {"chunk_id": d["chunk_id"], "clase": [k for k, _ in found], "razones": [r for _, r in found]}
 
-    return map_columns(fragments, ["chunk_id", "texto"], f"chunk_id string, {STATS}, clase string, razon string", run)
+    return map_columns(fragments, ["chunk_id", "texto"], f"chunk_id string, {STATS}, clase string, razones array<string>", run)
 
 
 def found(fragments: DataFrame) -> DataFrame:

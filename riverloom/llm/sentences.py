@@ -16,38 +16,38 @@ from .common import map_columns
 
 _SENTENCES = {
     "es": """La oficina revisó los datos del puerto.|¿Quién responde por la pérdida del bosque?|¡Nadie examinó la compra!|El Dr. Pérez visitó la Av. Central con 20 hombres.|La Sra. R. T. Lima y el Ing. Soto firmaron el acta núm. 39.
-Según el art. 83 del reglamento, la comisión cuestionó el plan.|Participaron delegados de EE. UU. y de Chile, p. ej. técnicos y juristas.|La patrulla llegó a las 2 p. m.|Se incautaron motores, bombas, mangueras, etc.|La tasa pasó de 31,4 a 10,7 por ciento.
-Los datos están en www.archivo-30.example y se actualizan cada mes.|La versión 2.93 del sistema falló.|El equipo dudó… pero al final aceptó la propuesta.|El ministerio todavía espera una respuesta…|El ministerio todavía espera una respuesta...|(Véase el anexo 21.)
-«No hay garantías», dijo la vocera de Lima.|—¿Hubo aviso previo? —preguntó el delegado de Quito.|¿Qué pasó en Lima?, se pregunta el comité.|El acta concluye: «La mesa registró el avance.»|La lista incluye: a) la calidad; b) la respuesta; c) la pérdida.|40 familias salieron de Lima en 2012.|Responda con una sola palabra: ¿qué dato permite sostener la conclusión?|Según el texto anterior, ¿cuál de las siguientes afirmaciones es la mejor?|En consecuencia, el Gral. Ríos cruzó el puente.|El presupuesto fue de 136.312 dólares, un 14,8 % más que en 2010.|Además, desde 2001, la red publicó el informe.|Lima cerró el paso en 1999.""",
-    "en": """The office reviewed the data of the harbour.|Who is responsible for the loss of forest?|Nobody examined the purchase!|What now?!|Dr. Lane visited St. Mary bridge with 20 men.|Mr. J. K. Moore and Prof. Hill signed act no. 58.|Under Art. 75 of the rules, the board changed the plan.
-Experts from the U.S. and from Chile took part, e.g. lawyers and engineers.|The patrol reached the post at 5 p.m.|They seized engines, pumps, hoses, etc.|The rate rose from 31.4 to 10.7 percent.|The files are kept at data23.archive.example and change every month.|Version 2.85 of the system failed.
-The ministry hesitated... but in the end agreed.|The office is still waiting for an answer...|(See annex 21.)|“We had no warning,” said the delegate from Lima.|“Was there a warning?” asked the envoy from Quito.|The minutes read: “The board recorded the spread.”|The list covers: (a) the quality; (b) the response; (c) the loss.|43 families left Lima in 2012.
+Según el art. 83 del reglamento, la comisión cuestionó el plan.|Participaron delegados de EE. UU. y de Chile, p. ej. técnicos y juristas.|La patrulla llegó a las 2 p. m.|Se llevaron redes, remos, cuerdas, etc.|La tasa pasó de 31,4 a 10,7 por ciento.
+La copia quedó en notas.museo44.example y cambia cada año.|La versión 2.93 del sistema falló.|El equipo dudó… pero al final aceptó la propuesta.|La escuela sigue sin recibir noticias…|La escuela sigue sin recibir noticias...|(Compárese la tabla 8.)
+«No hay garantías», dijo la vocera de Lima.|—¿Hubo aviso previo? —preguntó el delegado de Quito.|¿Qué pasó en Lima?, se pregunta el comité.|El acta concluye: «La mesa registró el avance.»|La lista incluye: a) la calidad; b) la respuesta; c) la pérdida.|40 familias salieron de Lima en 2012.|Responda con una sola palabra: ¿qué dato permite sostener la conclusión?|Según el texto anterior, ¿cuál de las siguientes afirmaciones es la mejor?|En consecuencia, el Gral. Ríos cruzó el puente.|La obra costó 402.118 dólares, un 7,3 % menos que en 1996.|Además, desde 2001, la red publicó el informe.|Lima cerró el paso en 1999.""",
+    "en": """The office reviewed the data of the harbour.|Who is responsible for the loss of forest?|Nobody examined the purchase!|Why not?!|Dr. Lane visited St. Mary bridge with 20 men.|Mr. J. K. Moore and Prof. Hill signed act no. 58.|Under Art. 75 of the rules, the board changed the plan.
+Experts from the U.S. and from Chile took part, e.g. lawyers and engineers.|The patrol reached the post at 5 p.m.|They took nets, oars, ropes, etc.|The rate rose from 31.4 to 10.7 percent.|The copy sits at notes.museum44.example and changes every year.|Version 2.85 of the system failed.
+The ministry hesitated... but in the end agreed.|The office is still waiting for an answer...|(Compare table 8.)|“We had no warning,” said the delegate from Lima.|“Was there a warning?” asked the envoy from Quito.|The minutes read: “The board recorded the spread.”|The list covers: (a) the quality; (b) the response; (c) the loss.|43 families left Lima in 2012.
 The panel (which met in Lima, cf. vol. 50, pp. 3-73) reviewed the trade.|The budget was $63,444, or 6.4% more than in 2008.|Gen. Hale crossed the river.|According to the passage above, which of the following statements is the best?|Moreover, since 2001, the network published the report.|"We had no warning," said the clerk.|Lima shut the crossing in 1999.""",
     "pt": """A prefeitura revisou os dados do porto.|Quem explica os riscos da automação?|Ninguém questionou a compra!|O Dr. Souza visitou a Av. Central com 20 homens.|A Sra. L. F. Lima e o Prof. Melo assinaram a ata nº 39.|Conforme o art. 85 do regulamento, o conselho mudou o plano.|Participaram delegados dos EUA e do Chile, p. ex. técnicos e juristas.
-A patrulha chegou às 17 h.|Foram apreendidos motores, bombas, mangueiras, etc.|A taxa passou de 33,6 para 42,3 por cento.|Os dados estão em base82.acervo.example e mudam todo mês.|A versão 2.93 do sistema falhou.|O ministério hesitou… mas no fim aceitou.|A equipe ainda espera uma resposta...|(Ver o anexo 21.)
-“Não há garantias”, disse a porta-voz de Lima.|A faixa dizia «NÃO HÁ AMANHÃ» em Lima.|A ata conclui: “A associação registrou o avanço.”|12 famílias saíram de Lima em 2008.|O orçamento foi de R$ 63.444, 6,4 % a mais que em 2008.|Além disso, desde 2001, a rede publicou o relatório.""",
+A patrulha chegou às 17 h.|Levaram redes, remos, cordas, etc.|A taxa passou de 33,6 para 42,3 por cento.|A cópia ficou em notas.museu44.example e muda todo ano.|A versão 2.93 do sistema falhou.|O ministério hesitou… mas no fim aceitou.|A equipe ainda espera uma resposta...|(Confira a tabela 8.)
+“Não há garantias”, disse a porta-voz de Lima.|A faixa dizia «NÃO HÁ AMANHÃ» em Lima.|A ata conclui: “A associação registrou o avanço.”|12 famílias saíram de Lima em 2008.|A obra custou R$ 402.118, 7,3 % a menos que em 1996.|Além disso, desde 2001, a rede publicou o relatório.""",
     "fr": """La mairie a vérifié les données du port.|Qui surveille les pannes du réseau ?|Personne ne répond à Lima !|Le Dr Blanc a visité l’av. Centrale avec 20 hommes.|M. Roux et le Pr. Petit attendent encore…|Mme Roux et le Pr. Petit ont signé.|Selon l’art. 83 du règlement, la commission a changé le plan.
-Les fichiers sont sur fonds87.depot.example depuis 2004.|Le budget était de 103 307 euros, soit 86,9 % de plus qu’en 2017.|Le ministère a hésité… mais a fini par accepter.|(Voir l’annexe 36.)|« Rien n’est garanti », affirme la porte-parole de Lima.|Le procès-verbal conclut : « La commission a relevé le recul. »
+La copie se trouve à notes.musee44.example depuis 1996.|Le chantier a coûté 402 118 euros, soit 7,3 % de moins qu’en 1996.|Le ministère a hésité… mais a fini par accepter.|(Comparer au tableau 8.)|« Rien n’est garanti », affirme la porte-parole de Lima.|Le procès-verbal conclut : « La commission a relevé le recul. »
 13 familles ont quitté Lima en 2008.|On parle d’un cadre politico-militaire.|Des experts sont venus, p. ex. des juristes, des pêcheurs, etc.|En outre, depuis 2001, le réseau a publié le bilan.|D’après le passage ci-dessus, laquelle des affirmations est la mieux étayée ?""",
     "de": """Die Verwaltung prüfte die Daten des Hafens.|Wer haftet für die Folgen?|Niemand prüfte den Mangel!|Dr. Weiß kam um 8.30 Uhr nach Lima.|Prof. Dr. Klein kam nach Kiel.|Viele Geräte, z. B. Sensoren und Pumpen, fehlten.|Am 10. Mai 2014 bestätigte der Verband den Handel.|Gemäß Art. 83 der Satzung beschloss der Rat den Plan.
-Der Verband zögerte … doch dann kam die Antwort.|(Siehe Anlage 54.)|„Es gibt keine Gewähr“, sagte die Sprecherin von Kiel.|Das Protokoll schließt: „Der Rat erfasste den Verlust.“|26 Familien verließen Kiel im Jahr 2003.|Die Quote stieg von 19,2 auf 79,2 Prozent seit 2017.|Laut Bericht beschrieb das Ministerium den Abbau.|Man sprach über den Plan, d. h. über Geld usw.|Am 3. Juni begann die Arbeit.|Vom 1. Januar bis zum 2. März war Pause.""",
-    "ru": """Отдел проверил данные порта.|Кто отвечает за потерю леса?|Никто не ответил!|В 2003 г. совет отметил нехватку специалистов.|Доля выросла с 93,8 до 4,5 процента, т. е. почти вдвое.|Изъяли моторы, насосы и т. д.|«Гарантий нет», — заявил представитель общины.|(См. приложение 21.)|Комиссия потратила 5 тыс. рублей на ремонт.|В 2011 году центр описал торговлю.
+Der Verband zögerte … doch dann kam die Antwort.|(Vergleiche Tafel 8.)|„Es gibt keine Gewähr“, sagte die Sprecherin von Kiel.|Das Protokoll schließt: „Der Rat erfasste den Verlust.“|26 Familien verließen Kiel im Jahr 2003.|Der Anteil sank von 61,5 auf 40,8 Prozent seit 2009.|Laut Bericht beschrieb das Ministerium den Abbau.|Man sprach über den Plan, d. h. über Geld usw.|Am 3. Juni begann die Arbeit.|Vom 1. Januar bis zum 2. März war Pause.""",
+    "ru": """Отдел проверил данные порта.|Кто отвечает за потерю леса?|Никто не пришёл!|В 2003 г. совет отметил нехватку специалистов.|Цена упала с 61,5 до 40,8 рубля, т. е. на треть.|Изъяли моторы, насосы и т. д.|«Дорога закрыта», — сказал водитель автобуса.|(См. приложение 21.)|Комиссия потратила 5 тыс. рублей на ремонт.|В 2011 году центр описал торговлю.
 В протоколе сказано: «Совет изучил торговлю.»|Несмотря на дожди союз рыбаков вышел на работу.|Проф. А. Б. Иванов и др. подписали акт № 39.|Совет колебался… но затем согласился.|Кроме того, институт описал пути.|См. рис. 5 и табл. 3 на с. 12.""",
-    "zh": """办公室审查了港口的数据。|谁应对森林的消失负责？|没有人回应！|“没有任何保证。”发言人说。|“为什么？”代表问道，“没有人通知我们。”|会议记录写道：“委员会记录了扩张。”|监测中心犹豫了……但最终同意了计划。|比例从31.4%升至10.7%。|35户家庭于2003年离开。|据10份证词，观察站指出了问题。|（见附件21。）|“这是错误的！”老师喊道。|“我们明天再来。”她说道。|会议记录写道：“实验室质疑了故障。”|“太晚了！”居民回答。|“谁来负责？”记者问道，“没有人知道。”""",
-    "ja": """事務局は港のデータを調べた。|誰が森林の減少の責任を負うのか？|本当なのか！？|誰も答えなかった！|「保証はありません。」と広報担当は述べた。|漁業組合は迷ったが……結局計画に同意した。|割合は31.4%から10.7%に上がった。|35世帯が2003年に去った。|議事録には「委員会は拡大を記録した。」とある。|（付録21を参照。）|報告書によれば、観測所は問題を説明した。""",
-    "ar": """راجع المكتب بيانات الميناء.|من المسؤول عن تراجع الغابات؟|لم يجب أحد!|«لا توجد ضمانات»، قال المتحدث.|قال د. سالم إن النسبة ارتفعت من 31.4 إلى 10.7 في المئة.|قال د. كريم إن العمل بدأ.|رغم الأمطار، درس المجلس الطرق.|غادرت 35 عائلة القرية في عام 2003.|تردد المركز… لكنه وافق في النهاية.|(انظر الملحق 21.)""",
-    "hi": """कार्यालय ने बंदरगाह के आँकड़ों की जाँच की।|वन की कटाई के लिए कौन ज़िम्मेदार है?|किसी ने जवाब नहीं दिया!|“कोई गारंटी नहीं है”, प्रवक्ता ने कहा।|डॉ. शर्मा ने गाँव का दौरा किया।|दर 72.3 से बढ़कर 17.9 प्रतिशत हो गई।|2003 में 35 परिवार चले गए।|केंद्र हिचकिचाया… लेकिन अंत में मान गया।|(अनुलग्नक 21 देखें।)|इसके अलावा, परिषद ने समीक्षा की.|मंत्रालय ने खनन की पुष्टि की.""",
-    "th": """สำนักงานตรวจสอบข้อมูลของท่าเรือ|ไม่มีใครตอบ!|ใครต้องรับผิดชอบต่อการสูญเสียป่า?|สัดส่วนเพิ่มจาก 71.9 เป็น 74.9 เปอร์เซ็นต์|ทีมภาคสนามบันทึกการค้าใน 54 หมู่บ้าน|หอสังเกตการณ์ยืนยันการสูญเสียหลังทำงาน 92 เดือน|สมาคมชาวประมงวิเคราะห์เส้นทางในปี 2010|นอกจากนี้สภาชุมชนตรวจสอบการค้าโดยไม่ปรึกษาชาวบ้าน|อย่างไรก็ตามคณะกรรมการอธิบายการใช้โดรนใกล้แม่น้ำ
+    "zh": """办公室审查了港口的数据。|谁应对森林的消失负责？|没有人回应！|“道路已经封了。”司机说。|“怎么了？”司机问道，“路上没有人。”|会议记录写道：“委员会记录了扩张。”|监测中心犹豫了……但最终同意了计划。|比例从31.4%升至10.7%。|35户家庭于2003年离开。|据10份证词，观察站指出了问题。|（见附件21。）|“这是错误的！”老师喊道。|“我们明天再来。”她说道。|会议记录写道：“实验室质疑了故障。”|“太晚了！”居民回答。|“谁来负责？”记者问道，“没有人知道。”""",
+    "ja": """事務局は港のデータを調べた。|誰が森林の減少の責任を負うのか？|本当なのか！？|誰も来なかった！|「道は閉まっています。」と運転手は話した。|漁業組合は迷ったが……結局計画に同意した。|割合は31.4%から10.7%に上がった。|35世帯が2003年に去った。|議事録には「委員会は拡大を記録した。」とある。|（付録21を参照。）|報告書によれば、観測所は問題を説明した。""",
+    "ar": """راجع المكتب بيانات الميناء.|من المسؤول عن تراجع الغابات؟|لم يأت أحد!|«الطريق مغلق»، قال سائق الحافلة.|قال د. سالم إن النسبة ارتفعت من 31.4 إلى 10.7 في المئة.|قال د. كريم إن العمل بدأ.|رغم الأمطار، درس المجلس الطرق.|غادرت 35 عائلة القرية في عام 2003.|تردد المركز… لكنه وافق في النهاية.|(انظر الملحق 21.)""",
+    "hi": """कार्यालय ने बंदरगाह के आँकड़ों की जाँच की।|वन की कटाई के लिए कौन ज़िम्मेदार है?|किसी ने जवाब नहीं दिया!|“रास्ता बंद है”, चालक ने कहा।|डॉ. शर्मा ने गाँव का दौरा किया।|कीमत 61.5 से घटकर 40.8 रुपये हो गई।|2003 में 35 परिवार चले गए।|केंद्र हिचकिचाया… लेकिन अंत में मान गया।|(अनुलग्नक 21 देखें।)|इसके अलावा, परिषद ने समीक्षा की.|मंत्रालय ने खनन की पुष्टि की.""",
+    "th": """สำนักงานตรวจสอบข้อมูลของท่าเรือ|ไม่มีใครมา!|ใครต้องรับผิดชอบต่อการสูญเสียป่า?|ราคาลดจาก 61.5 เป็น 40.8 บาท|ทีมภาคสนามบันทึกการค้าใน 54 หมู่บ้าน|หอสังเกตการณ์ยืนยันการสูญเสียหลังทำงาน 92 เดือน|สมาคมชาวประมงวิเคราะห์เส้นทางในปี 2010|นอกจากนี้สภาชุมชนตรวจสอบการค้าโดยไม่ปรึกษาชาวบ้าน|อย่างไรก็ตามคณะกรรมการอธิบายการใช้โดรนใกล้แม่น้ำ
 ในขณะเดียวกันศูนย์เฝ้าระวังประณามการขยายตัวของเหมืองแม้ฝนตกหนัก|ตามรายงานหน่วยวิเคราะห์ยืนยันการขาดแคลนในปี 2003|คณะกรรมการภูมิภาคบันทึกการค้าตามคำให้การ 12 ปาก|ในปี 2005 สมาคมประมงอธิบายการค้าปรอท|ใน 35 หมู่บ้าน ทีมภาคสนามตรวจสอบการค้า""",
 }
 _HEADINGS = {
-    "es": "Contexto regional|Recomendaciones finales|Resumen del periodo 2003|Capítulo 12: Vega Alta|Hallazgos en Loma Alta|Introducción|Anexo 3|Nota técnica",
-    "en": "Regional context|Final recommendations|Summary of 2003|Chapter 12: Green Hill|Findings in Green Hill|Introduction|Annex 3",
-    "pt": "Contexto regional|Recomendações finais|Resumo do período 2003|Capítulo 12: Vila Alta|Achados em Vila Alta|Introdução",
-    "fr": "Contexte régional|Recommandations|Bilan 2003|Chapitre 12 : Mont Vert|Constats à Mont Vert|Introduction",
-    "de": "Empfehlungen|Überblick 2003|Kapitel 12: Alte Burg|Befunde in Alte Burg|Einleitung|Regionaler Kontext",
-    "ru": "Выводы|Глава 12|Обзор за 2003 год|Введение", "zh": "区域背景|第12章|2003年概要|建议", "ja": "提言|第12章|2003年の概要|はじめに",
-    "ar": "التوصيات|الفصل 12|ملخص عام 2003|مقدمة", "hi": "सिफ़ारिशें|अध्याय 12|2003 का सारांश|परिचय", "th": "ข้อเสนอแนะ|สรุปปี 2003|บทที่ 12|บทนำ",
+    "es": "Entorno local|Consejos de cierre|Balance del año 1998|Capítulo 12: Vega Alta|Hallazgos en Loma Alta|Introducción|Anexo 3|Apunte breve",
+    "en": "Local setting|Closing advice|Overview of 1998|Chapter 12: Green Hill|Findings in Green Hill|Introduction|Annex 3",
+    "pt": "Entorno local|Conselhos de fecho|Balanço do ano 1998|Capítulo 12: Vila Alta|Achados em Vila Alta|Introdução",
+    "fr": "Cadre local|Conseils|Aperçu 1998|Chapitre 12 : Mont Vert|Constats à Mont Vert|Introduction",
+    "de": "Ratschläge|Rückblick 1998|Kapitel 12: Alte Burg|Befunde in Alte Burg|Einleitung|Regionaler Kontext",
+    "ru": "Выводы|Раздел 7|Сводка за 1998 год|Введение", "zh": "区域背景|第12章|2003年概要|建议", "ja": "提言|第12章|1998年のまとめ|はじめに",
+    "ar": "النصائح|القسم 7|نظرة على عام 1998|مقدمة", "hi": "सुझाव|भाग 7|1998 की झलक|परिचय", "th": "คำแนะนำ|ภาพรวมปี 1998|บทที่ 12|บทนำ",
 }
 
 # ---------------------------------------------------------------------------------------------

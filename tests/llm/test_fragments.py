@@ -86,7 +86,7 @@ def test_residue(spark):
         ("Ruiz, A. (2001). Contexto regional. Vol. 3, pp. 1-9.\nLima, B. (2003). Bilan. Vol. 8, pp. 3-4.", "lista"), ("Ana Ruiz · Beto Lima · Caro Paz · Dora Gil · Eva Sol · Fito Roa", "lista"),
         ("| a | 2001 | 1.234 |\n| b | 2002 | 3.456 |", "tabla"), ("a;2001;1.234;5,6\nb;2002;3.456;7,8", "tabla"), ("municipio: Alto  casos: 12  tasa: 3,4\nmunicipio: Bajo  casos: 15  tasa: 1,2", "tabla"),
         ("Alto 2001 1.234 5,6 Bajo 2002 3.456 7,8 Caro 2003 8.765 n/d", "tabla"), ("asdfasdf qweqwe zxczxc jkljkl asdf qwe", "basura"), ("(cid:12) (cid:99) (cid:4) (cid:81)", "basura"), ("jajajajajajajajajajaja", "basura"),
-        ("8d 4f 00 a1 bb c2 9e 10 44 d3", "basura"), ("¶†#=+ □§◊ ~|=<> ‡‡##+== ^^~", "basura"), (" ".join(ES) + "\n- mapa\n- radio", "prosa"), ("", "vacio"),
+        ("8d 4f 00 a1 bb c2 9e 10 44 d3", "basura"), ("¶†#=+ □§◊ ~|=<> ‡‡##+== ^^~", "basura"), (" ".join(ES) + "\n- mapa\n- radio", "prosa"), ("", "vacio"), ("aaa bbb ccc ddd eee", "basura"),
     ],
 )
 def test_kinds(text, kind):
@@ -100,6 +100,15 @@ def test_statistics(spark):
     assert [tuple(x) for x in quality.found(df).collect()] == [("l", "lista")]
 
 
+def test_published_rules():
+    """Every failed rule is a reason of its own."""
+    texts = ["- mapa\n- radio\n- motor", " ".join(ES) * 8, "8 4 5 9 #", "… … … … ab"]
+    stats = quality.statistics(texts)
+    why = [{w.split()[0] for w in quality.failures(stats, i)} for i in range(4)]
+    assert why[0] == {"palabras", "largo_medio", "vinetas", "alfabeticas", "frecuentes", "fin_puntuacion", "lineas_cortas"} - {"largo_medio"} or "vinetas" in why[0]
+    assert why[1] == set() and {"signos_palabra", "alfabeticas", "frecuentes", "largo_medio"} <= why[2] and "signos_palabra" in why[3]
+
+
 def damaged(s, wrong, right="utf-8"):
     return s.encode(right).decode(wrong)
 
@@ -184,7 +193,7 @@ def test_texts_with_common_words_are_read_by_lines():
     table = "tasa de la zona  1.234  5.678\ncasos en el mes  2.345  6.789\nuso de la red  3.456  7.891"
     mixed = "Los datos de la zona y de la red son los que siguen en la lista:\n- mapa de la zona\n" + "y el plan de la oficina para el puerto de la ciudad es el del mes\n" * 3
     assert quality.kinds([table], [False])[0][0] == "tabla"
-    assert quality.kinds([mixed], [False])[0][1].startswith("prosa ")
+    assert quality.kinds([mixed], [False])[0][1][0].startswith("prosa ")
 
 
 def test_wide_headers_are_scored():
