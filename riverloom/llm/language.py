@@ -46,6 +46,8 @@ PIECES = re.compile(r"(?<=[.!?…])[\"»”’)\]]*\s+|(?<=[。！？])|\n\s*\n"
 SWITCH, SWITCH_SENTENCE = 9.0, 4.0
 LEAST_WORDS, WHOLE, MARGIN = 4, 0.9, 4.0
 CAP = 5.0
+#: A text of which less than this share of the words was ever seen in its best language is in none of those that the model knows.
+SEEN = 0.35
 
 
 #: Words, and what ends a piece.
@@ -105,6 +107,7 @@ class LanguageModel:
         self.memo: dict[str, int] = {}
         self.rows: list[np.ndarray] = []
         self.table = np.zeros((0, len(STATES)), dtype=np.float32)
+        self.words: list[str] = []
         self.scores: dict[str, list[float]] = {}
         for g in set().union(*self.grams.values()):
             x = [math.log(self.grams[k].get(g, 0.0) + 2.0) for k in LATIN]
@@ -156,6 +159,7 @@ class LanguageModel:
                     if w[0].isalpha():
                         self.memo[w] = len(self.rows)
                         self.rows.append(self.word_row(w))
+                        self.words.append(w.lower())
                     else:
                         self.memo[w] = -1
             return list(map(self.memo.__getitem__, tokens))
@@ -200,8 +204,25 @@ class LanguageModel:
         return result
 
 
-def analyse(texts: list[str], model: LanguageModel) -> list[dict]:
-    """Per text: ``main`` and ``confidence``, ``whole`` languages with a whole sentence, ``segments`` (language, first, last piece, confidence)."""
+def _spans(text: str, path: np.ndarray, rows: np.ndarray) -> list[tuple[str, int, int, float]]:
+    """Stretches of one language, word by word: (language, begin, end, confidence) in code points, from the first word to the last."""
+    at = [m.span() for m in TOKEN.finditer(text) if m[0][0].isalpha()]
+    cuts = np.flatnonzero(np.diff(path, prepend=-1))
+    out = []
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(path)]):
+        total = rows[a:b].sum(0).astype(np.float64)
+        own = total[path[a]]
+        total[path[a]] = -np.inf
+        out.append((STATES[path[a]], at[a][0], at[b - 1][1], _sure(own - total.max())))
+    return out
+
+
+def analyse(texts: list[str], model: LanguageModel, spans: bool = False) -> list[dict]:
+    """Per text: ``main`` and ``confidence``, ``whole`` languages with a whole sentence, ``segments`` (language, first, last piece, confidence).
+
+    With ``spans`` the segments are stretches of words, (language, begin, end, confidence) in code points, and
+    a text in none of the known languages has the main language und.
+    """
     if len(model.rows) > 300_000:
         model.clear()
     tokens = [model.ids(TOKEN.findall(t)) for t in texts]
@@ -244,8 +265,19 @@ def analyse(texts: list[str], model: LanguageModel) -> list[dict]:
     rest = totals.copy()
     rest[np.arange(len(live)), mains] = -np.inf
     sure = totals[np.arange(len(live)), mains] - rest.max(1)
+    word_starts = np.concatenate([[0], np.cumsum(sizes)])
     for j, i in enumerate(live.tolist()):
         a, b, main = piece_starts[j], piece_starts[j + 1], mains[j]
+        if spans:
+            lo, hi = word_starts[j], word_starts[j + 1]
+            full_ = {int(main)} | {int(x) for x in np.unique(lang[a:b][full[a:b] & (margin[a:b] >= MARGIN)])}
+            out[i] = {"main": STATES[main], "confidence": _sure(sure[j]), "whole": sorted(STATES[x] for x in full_), "segments": _spans(texts[i], path[lo:hi], rows[lo:hi])}
+            if main < len(LATIN):
+                known = model.rates[LATIN[main]]
+                seen = sum(model.words[w] in known for w in ids[lo:hi]) / (hi - lo)
+                if seen < SEEN:
+                    out[i] = {"main": "und", "confidence": 1.0 - seen, "whole": [], "segments": [("und", 0, len(texts[i]), 1.0 - seen)]}
+            continue
         own = lang[a:b]
         if (own == main).all():
             c = _sure(sure[j])
@@ -280,7 +312,7 @@ RESULT = "chunk_id string, etiqueta string, idioma string, confianza double, idi
 
 
 def _judge(d: dict[str, list], words: LanguageModel, res: residue.ResidueModel) -> tuple[list[bool], list[dict]]:
-    """Which fragments aren't natural text, and what the others are written in."""
+    """Which fragments aren't natural text, and what the others are written in, by sentences."""
     texts = [t or "" for t in d["texto"]]
     skip = [k != "prosa" for k, _ in quality.kinds(texts, res.flags(texts))]
     return skip, analyse(["" if s else t for t, s in zip(texts, skip)], words)
@@ -290,22 +322,26 @@ def languages(fragments: DataFrame, sample: int = 3000) -> DataFrame:
     """Language of every fragment and of its stretches.
 
     -> (chunk_id, etiqueta, idioma, confianza, idiomas, tramos, excluido). ``etiqueta`` is the label's
-    code or null when it names none of the five languages; ``idioma`` the main language, ``idiomas``
-    all with a whole sentence, ``tramos`` runs of sentences by language with a confidence each.
-    Fragments that aren't natural text (problems 2 and 5) and null or blank ones are ``excluido`` with
-    null languages. The models are fitted on ``sample`` fragments chosen by hash.
+    code or null when it names none of the five languages; ``idioma`` the main language, und for a text
+    in none that the model knows; ``idiomas`` all with a whole sentence, ``tramos`` stretches of words by
+    language, also within a sentence: code point offsets ``desde`` and ``hasta`` and a confidence each.
+    ``excluido`` are fragments that aren't natural text (problems 2 and 5); they have a language too. Null
+    and blank texts, and texts without words, have null languages. The models are fitted on ``sample`` fragments chosen by hash.
     """
     shared = _models(fragments, sample)
 
     def run(d: dict[str, list]) -> dict[str, list]:
-        skip, found = _judge(d, *shared.value)
+        words, res = shared.value
+        texts = [t or "" for t in d["texto"]]
+        skip = [k != "prosa" for k, _ in quality.kinds(texts, res.flags(texts))]
+        found = analyse(texts, words, True)
         return {
             "chunk_id": d["chunk_id"],
             "etiqueta": [label(x) for x in d["idioma"]],
             "idioma": [f["main"] for f in found],
-            "confianza": [f["confidence"] for f in found],
+            "confianza": [round(f["confidence"], 6) for f in found],
             "idiomas": [f["whole"] for f in found],
-            "tramos": [[{"idioma": a, "desde": b, "hasta": c, "confianza": e} for a, b, c, e in f["segments"]] for f in found],
+            "tramos": [[{"idioma": a, "desde": b, "hasta": c, "confianza": round(e, 6)} for a, b, c, e in f["segments"]] for f in found],
             "excluido": skip,
         }
 

@@ -47,10 +47,22 @@ def test_languages(spark):
     assert got == [("mixed", "en"), ("mixed", "es"), ("none", "pt"), ("wrong", "fr")]
     assert language.found(df).where(F.col("chunk_id").rlike("^k")).count() == 0
     full = {r.chunk_id: r for r in language.languages(df).collect()}
-    assert [(t.idioma) for t in full["mixed"].tramos] == ["es", "en"] and full["null"].excluido and full["right"].confianza > 0.9
+    assert [(t.idioma) for t in full["mixed"].tramos] == ["es", "en"] and full["null"].idioma is None and full["table"].excluido and full["right"].confianza > 0.9
     assert language.found(df.limit(0)).count() == 0
 
 
+def test_spans_and_unknown_languages():
+    model = language.LanguageModel([r["texto"] for r in corpus(300)])
+    text = "La oficina revisó los datos del puerto and the committee questioned the plan of the city and recorded the closure y el comité cuestionó el plan de la ciudad."
+    r = language.analyse([text], model, True)[0]
+    assert [x[0] for x in r["segments"]] == ["es", "en", "es"] and all(0.5 < x[3] <= 1 for x in r["segments"])
+    _, a, b, _ = r["segments"][1]
+    assert text[a:b].startswith("and the committee") and text[a:b].endswith("closure")
+    foreign = ["Il sindaco ha promesso di riparare questa strada prima della primavera.", "Belediye başkanı yolu bahardan önce onaracağına söz verdi.", "De burgemeester beloofde deze weg vóór het voorjaar te herstellen.", "Burmistrz obiecał naprawić drogę przed wiosną."]
+    assert [x["main"] for x in language.analyse(foreign, model, True)] == ["und"] * 4
+    assert language.analyse(["", " 12 "], model, True)[0]["main"] is None
+
+
 def test_held_out_language_accuracy():
     train = [r["texto"] for r in corpus(300)]
     model = language.LanguageModel(train)
