@@ -355,37 +355,74 @@ def _search(corpus: DataFrame, block: list[Item], v: Vectors, idf: np.ndarray, b
         rows.append(z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9))
         of.append(np.full(len(z), k))
     queries, of_item = np.concatenate(rows).astype(np.float32), np.concatenate(of)
-    shared = spark.sparkContext.broadcast((idf.astype(np.float32), basis, queries, np.flatnonzero(np.diff(of_item, prepend=-1)), block))
-
-    def run(d: dict[str, list]) -> dict[str, list]:
-        idf, basis, queries, starts, block = shared.value
-        v = Vectors(idf)
-        out: dict[str, list] = {k: [] for k in ("doc_id", "item_id", "coseno", "palabras", "cambiadas", "respuesta")}
-        for lo in range(0, len(d["text"]), 500):
-            lists = [np.asarray(x, dtype=np.int64) for x in d["ids"][lo : lo + 500]]
-            live = [i for i, x in enumerate(lists) if len(x) >= 6]
-            if not live:
-                continue
-            got = [v.windows(lists[i], STEP) for i in live]
-            z = _project(np.concatenate([t for t, _ in got]), np.concatenate([w for _, w in got]), basis)
-            z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
-            first = np.concatenate([[0], np.cumsum([len(t) for t, _ in got])[:-1]])
-            best = np.concatenate([np.maximum.reduceat(z[i : i + 2048] @ queries.T, starts, axis=1) for i in range(0, len(z), 2048)])
-            best = np.maximum.reduceat(best, first, axis=0)
-            texts: dict[int, list[str]] = {}
-            for a, k in zip(*np.nonzero(best >= cosine)):
-                x = block[k]
-                if a not in texts:
-                    texts[a] = words(d["text"][lo + live[a]])
-                ws = texts[a]
-                if hit := leaked(x, ws):
-                    answer = words(x.answer) if x.answer else []
-                    told = bool(answer) and f" {' '.join(answer)} " in f" {' '.join(ws)} "
-                    for name, value in zip(out, (d["doc_id"][lo + live[a]], x.item_id, float(best[a, k]), hit[0], hit[1], told)):
-                        out[name].append(value)
-        return out
-
-    return map_columns(corpus, ["doc_id", "text", "ids"], RESULT, run)
+    shared = spark.sparkContext.broadcast(((idf[:, None] * basis).astype(np.float32), queries, np.flatnonzero(np.diff(of_item, prepend=-1)), block))
+
+    names = ("doc_id", "item_id", "coseno", "palabras", "cambiadas", "respuesta")
+    kind = dict(corpus.dtypes)["doc_id"]
+    schema = RESULT.replace("doc_id bigint", f"doc_id {kind}")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weighted, queries, starts, block = shared.value
+        for b in batches:
+            out: dict[str, list] = {k: [] for k in names}
+            doc_ids, texts = b.column(0).to_pylist(), b.column(1)
+            for lo, ids in _chunks(b.column(2)):
+                z, first, live = _latent(ids, weighted)
+                if not len(live):
+                    continue
+                best = np.concatenate([np.maximum.reduceat(z[i : i + 2048] @ queries.T, starts, axis=1) for i in range(0, len(z), 2048)])
+                best = np.maximum.reduceat(best, first, axis=0)
+                read: dict[int, list[str]] = {}
+                for a, k in zip(*np.nonzero(best >= cosine)):
+                    x, at = block[k], lo + int(live[a])
+                    if at not in read:
+                        read[at] = words(texts[at].as_py())
+                    ws = read[at]
+                    if hit := leaked(x, ws):
+                        answer = words(x.answer) if x.answer else []
+                        told = bool(answer) and f" {' '.join(answer)} " in f" {' '.join(ws)} "
+                        for name, value in zip(names, (doc_ids[at], x.item_id, float(best[a, k]), hit[0], hit[1], told)):
+                            out[name].append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(out[n], type=t) for n, t in zip(names, types)], names=list(names))
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    types = [to_arrow_type(f.dataType) for f in spark.createDataFrame([], schema).schema.fields]
+    return corpus.select("doc_id", "text", "ids").mapInArrow(run, schema)
+
+
+def _chunks(column: pa.Array, words_: int = 60_000) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first row, hashed terms of each row) of runs of rows with about ``words_`` words; a longer text is a run of its own."""
+    ends = np.cumsum(np.asarray(column.value_lengths(), dtype=np.int64))
+    lists = np.split(np.asarray(column.flatten(), dtype=np.int64), ends[:-1]) if len(ends) else []
+    lo = 0
+    while lo < len(lists):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + words_, side="right")))
+        yield lo, lists[lo:hi]
+        lo = hi
+
+
+def _latent(ids: list[np.ndarray], weighted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unit vectors of the windows, first window of each text, texts that have any): a window's vector is the
+    difference of two running sums of its terms' weighted rows; its length falls out with the unit length."""
+    sizes = np.array([len(x) for x in ids])
+    live = np.flatnonzero(sizes >= 6)
+    if not len(live):
+        return np.zeros((0, weighted.shape[1]), np.float32), live, live
+    rows = weighted[np.concatenate([ids[i] for i in live])]
+    sums = np.zeros((len(rows) + 1, rows.shape[1]))
+    np.cumsum(rows, axis=0, dtype=np.float64, out=sums[1:])
+    begin, stop, first, at = [], [], [], 0
+    base = 0
+    for n in sizes[live].tolist():
+        s = np.minimum(np.arange(0, max(1, n - WINDOW + STEP), STEP), max(0, n - WINDOW))
+        first.append(at)
+        begin.append(s + base)
+        stop.append(s + base + min(WINDOW, n))
+        at, base = at + len(s), base + n
+    z = (sums[np.concatenate(stop)] - sums[np.concatenate(begin)]).astype(np.float32)
+    z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
+    return z, np.array(first), live
 
 
 def found(documents: DataFrame, items: DataFrame) -> DataFrame:
