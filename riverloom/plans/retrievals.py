@@ -10,68 +10,69 @@ from ..functions.encoder import HashEncoder, encode
 from ..operators import corpus as C
 from ..operators import quality as QC
 from ..operators import retrieval as R
-from ..session import cut, load
+from ..session import cut, load, stored
 from . import sqltext as Q
 from .vectors import hash_sql
 
 
-def _parts(s, d):
-    frags = C.latest(load(s, d, "metadata").select("chunk_id", "doc_id", "fuente", "texto", "cargado_en"))
-    vectors = encode(frags, "chunk_id", "texto")
-    queries = encode(load(s, d, "consultas"), "query_id", "consulta").withColumnRenamed("id", "query_id")
-    return frags, vectors, queries, load(s, d, "evidencia")
+#: Offline stand-ins of the two encoders: the common space, and a second one with buckets of its own.
+COMMON, SECOND = HashEncoder(), HashEncoder(256)
 
 
-#: The offline stand-in for the second encoder: as the common one, with buckets of its own.
-SECOND = HashEncoder(256)
+class Base:
+    """What all steps read: fragments, questions, evidence, and the vectors of both spaces (R2), encoded once and stored."""
 
+    def __init__(self, s, d):
+        self.frags = C.latest(load(s, d, "metadata").select("chunk_id", "doc_id", "fuente", "texto", "cargado_en"))
+        self.queries = encode(load(s, d, "consultas"), "query_id", "consulta", COMMON).withColumnRenamed("id", "query_id")
+        self.queries2 = encode(load(s, d, "consultas"), "query_id", "consulta", SECOND).withColumnRenamed("id", "query_id")
+        self.vectors = stored(encode(self.frags, "chunk_id", "texto", COMMON))
+        self.vectors2 = stored(encode(self.frags, "chunk_id", "texto", SECOND))
+        self.evidence = load(s, d, "evidencia")
 
-def _pool(s, d, whole: bool = True):
-    """Candidates of both vector spaces and the graph, with their cosine in the common space (R3) and document.
+    def pool(self):
+        """Candidates of both spaces and of the graph, each with its cosine in the common space and its document.
 
-    Every fragment with text has a vector in the common space, so none is encoded anew. Without ``whole``
-    only the 100 best of the common space are taken, as the SQL of the queries on single steps states.
-    """
-    frags, vectors, queries, ev = _parts(s, d)
-    spaces = [V.top_k(vectors, queries, RETRIEVAL.top_k if whole else 100)]
-    if whole:
-        own = encode(load(s, d, "consultas"), "query_id", "consulta", SECOND).withColumnRenamed("id", "query_id")
-        spaces.append(V.top_k(encode(frags, "chunk_id", "texto", SECOND), own, RETRIEVAL.second_top_k))
-    pool = R.candidates([x.withColumnRenamed("id", "chunk_id") for x in spaces], ev)
-    v = vectors.select(F.col("id").alias("chunk_id"), F.col("v").alias("cv"))
-    q = queries.select("query_id", F.col("v").alias("qv"))
-    rows = pool.join(v, "chunk_id").join(q, "query_id").withColumn("coseno", F.round(V.dot(F.col("qv"), F.col("cv")), 6)).drop("qv", "cv")
-    return rows.join(frags.select("chunk_id", "doc_id", "fuente"), "chunk_id")
+        Every fragment with text has a stored vector in the common space, so none is encoded anew.
+        """
+        spaces = [V.top_k(self.vectors, self.queries, RETRIEVAL.top_k), V.top_k(self.vectors2, self.queries2, RETRIEVAL.second_top_k)]
+        pool = R.candidates([x.withColumnRenamed("id", "chunk_id") for x in spaces], self.evidence)
+        v = self.vectors.select(F.col("id").alias("chunk_id"), F.col("v").alias("cv"))
+        q = self.queries.select("query_id", F.col("v").alias("qv"))
+        rows = pool.join(v, "chunk_id").join(q, "query_id").withColumn("coseno", F.round(V.dot(F.col("qv"), F.col("cv")), 6)).drop("qv", "cv")
+        return rows.join(self.frags.select("chunk_id", "doc_id", "fuente"), "chunk_id")
 
+    def fused(self):
+        return R.fused(self.pool(), self.evidence)
 
-def candidate_union(s, d):
-    return _pool(s, d, False).select("query_id", "chunk_id", "origen", "coseno")
+    def top(self):
+        return R.best(self.fused(), RETRIEVAL.refine)
 
 
-def _fused(s, d, whole: bool = True):
-    return R.fused(_pool(s, d, whole), load(s, d, "evidencia"))
+def candidate_union(s, d):
+    return Base(s, d).pool().select("query_id", "chunk_id", "origen", "coseno")
 
 
 def zscore_fusion(s, d):
-    return _fused(s, d, False).select("query_id", "chunk_id", "p")
+    return Base(s, d).fused().select("query_id", "chunk_id", "p")
 
 
 def fragments_top10_capped(s, d):
-    return R.capped(R.best(_fused(s, d, False), 60)).select("query_id", "rank", "chunk_id", "doc_id", "p")
+    return R.capped(Base(s, d).top()).select("query_id", "rank", "chunk_id", "doc_id", "p")
 
 
 def documents_top3(s, d):
-    return R.documents(R.best(_fused(s, d, False), 60)).select("query_id", "rank", "doc_id", F.col("puntos"))
+    return R.documents(Base(s, d).top()).select("query_id", "rank", "doc_id", F.col("puntos"))
 
 
 def hybrid_results(s, d):
     """Both fusions, the second over the refined fragments, up to the nested result."""
-    frags, _, queries, ev = _parts(s, d)
-    top = cut(R.best(_fused(s, d), 60).select("query_id", "chunk_id", "doc_id", "fuente", "coseno"))  # else each use searches anew
-    texts = top.join(frags.select("chunk_id", "texto"), "chunk_id")
-    windows = R.best_window(texts, queries)
+    base = Base(s, d)
+    top = cut(base.top().select("query_id", "chunk_id", "doc_id", "fuente", "coseno"))  # else each use searches anew
+    texts = top.join(base.frags.select("chunk_id", "texto"), "chunk_id")
+    windows = R.best_window(texts, base.queries)
     again = top.drop("coseno").join(windows, ["query_id", "chunk_id"]).withColumnRenamed("coseno_refinado", "coseno")
-    ranked = R.fused(again, ev)
+    ranked = R.fused(again, base.evidence)
     return R.results(R.capped(ranked), R.documents(ranked))
 
 
@@ -89,18 +90,22 @@ def traceability(s, d):
 
 
 def best_window(s, d):
-    frags, _, queries, _ = _parts(s, d)
-    top = R.best(_fused(s, d), 60).select("query_id", "chunk_id", "coseno").join(frags.select("chunk_id", "texto"), "chunk_id")
-    return R.best_window(top, queries)
+    base = Base(s, d)
+    top = base.top().select("query_id", "chunk_id", "coseno").join(base.frags.select("chunk_id", "texto"), "chunk_id")
+    return R.best_window(top, base.queries)
+
+
+def _space(n: str, size: int, k: int) -> str:
+    """The k best of a space of ``size`` buckets, as sp{n}; all cosines as cs{n}."""
+    return f"""cv{n} as ({hash_sql('(select chunk_id, texto from frag where texto is not null)', 'chunk_id', 'texto', size)}), qv{n} as ({hash_sql('consultas', 'query_id', 'consulta', size)}),
+dots{n} as (select q.query_id, c.chunk_id, sum(q.peso * c.peso) as x from qv{n} q join cv{n} c using (cubo) group by 1, 2),
+cs{n} as (select a.query_id, t.chunk_id, coalesce(round(x, 6), 0) as coseno from (select query_id from consultas) a cross join withtext t left join dots{n} using (query_id, chunk_id)),
+sp{n} as (select * from (select *, row_number() over (partition by query_id order by coseno desc, chunk_id) as rn from cs{n}) where rn <= {k})"""
 
 
-_POOL = f"""{Q.FRAG}, cv as ({hash_sql('(select chunk_id, texto from frag where texto is not null)', 'chunk_id', 'texto')}), qv as ({hash_sql('consultas', 'query_id', 'consulta')}),
-withtext as (select distinct chunk_id from frag where texto is not null),
-dots as (select q.query_id, c.chunk_id, sum(q.peso * c.peso) as x from qv q join cv c using (cubo) group by 1, 2),
-cs as (select a.query_id, t.chunk_id, coalesce(round(x, 6), 0) as coseno from (select query_id from consultas) a cross join withtext t left join dots using (query_id, chunk_id)),
-sp as (select * from (select *, row_number() over (partition by query_id order by coseno desc, chunk_id) as rn from cs) where rn <= 100),
+_POOL = f"""{Q.FRAG}, withtext as (select distinct chunk_id from frag where texto is not null), {_space('', 64, RETRIEVAL.top_k)}, {_space('2', 256, RETRIEVAL.second_top_k)},
 gr as (select * from (select *, row_number() over (partition by query_id order by score desc, chunk_id) as rn from evidencia where score is not null) where rn <= 100),
-pool as (select query_id, chunk_id, max(o)::int as origen from (select query_id, chunk_id, 0 as o from sp union all select query_id, chunk_id, -1 from gr) group by 1, 2),
+pool as (select query_id, chunk_id, max(o)::int as origen from (select query_id, chunk_id, 0 as o from sp union all select query_id, chunk_id, 1 from sp2 union all select query_id, chunk_id, -1 from gr) group by 1, 2),
 pc as (select p.query_id, p.chunk_id, p.origen, cs.coseno, f.doc_id, f.fuente from pool p join cs using (query_id, chunk_id) join frag f on f.chunk_id = p.chunk_id)"""
 _FUSED = """gn as (select query_id, chunk_id, case when max(score) over (partition by query_id) > 0 then score / max(score) over (partition by query_id) else 0 end as g from evidencia where score is not null),
 fu as (select pc.*, round((case when stddev_pop(coseno) over (partition by pc.query_id) < 1e-9 then 0 else (coseno - avg(coseno) over (partition by pc.query_id)) / stddev_pop(coseno) over (partition by pc.query_id) end) + 0.5 * coalesce(g, 0), 6) as p

@@ -50,10 +50,10 @@ def hash_encode(s, d):
     return v.select(F.col("id").alias("query_id"), F.posexplode("v").alias("cubo", "x")).where("x <> 0").select("query_id", F.col("cubo").cast("bigint").alias("cubo"), F.round("x", 9).alias("peso"))
 
 
-def hash_sql(rows: str, key: str, text: str) -> str:
+def hash_sql(rows: str, key: str, text: str, size: int = 64) -> str:
     """(key, cubo, peso) of the offline encoder."""
     return f"""select {key}, cubo, n / sqrt(sum(n * n) over (partition by {key})) as peso from (
-        select {key}, ('0x' || substr(md5(t), 1, 8))::bigint % 64 as cubo, count(*)::double as n from (select {key}, unnest({Q.tokens(text)}) as t from {rows}) group by 1, 2)"""
+        select {key}, ('0x' || substr(md5(t), 1, 8))::bigint % {size} as cubo, count(*)::double as n from (select {key}, unnest({Q.tokens(text)}) as t from {rows}) group by 1, 2)"""
 
 
 _DOT = "list_dot_product(list_transform(q.embedding, lambda x: x::double), list_transform(e.embedding, lambda x: x::double))"

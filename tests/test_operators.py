@@ -207,6 +207,6 @@ def test_retrieval_searches_both_spaces(spark, tmp_path):
         score = dict(zip(texts, np.round(enc.encode(list(texts.values())) @ enc.encode([question])[0], 6)))
         cosines = cosines or score
         want |= {c: i for c in sorted(texts, key=lambda c: (-score[c], c))[:k]}
-    pool = {r.chunk_id: (r.origen, r.coseno) for r in retrievals._pool(spark, str(tmp_path)).collect()}
+    pool = {r.chunk_id: (r.origen, r.coseno) for r in retrievals.Base(spark, str(tmp_path)).pool().collect()}
     assert len(pool) > 200 and {c: o for c, (o, _) in pool.items()} == want
     assert all(abs(x - cosines[c]) < 2e-6 for c, (_, x) in pool.items())
