@@ -253,7 +253,7 @@ def word_counts(fragments: DataFrame) -> DataFrame:
         inline: Counter = Counter()
         for t, k in all_.items():
             w = bare(t).lower()
-            if 1 < len(w) <= 40:
+            if len(w) > 1:
                 n[w] += k
                 c[w] += clean.get(t, 0)
             if "-" in t and t in clean:
@@ -417,26 +417,39 @@ def _grams(w: F.Column) -> F.Column:
 
 #: One misreading spoils at most so many 3-grams of the word read, and one less of the true word.
 SPOILT = 4
+#: Words up to LONG letters have deletion keys, and words of more than SHORT their rarest 3-grams; lengths two apart always share a kind of key.
+SHORT, LONG = 5, 7
+
+
+def _gaps(w: F.Column) -> F.Column:
+    """A word without up to two letters at each place: what two words share that one misreading parts."""
+    spans = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: F.transform(F.sequence(F.lit(0), F.length(w) - k), lambda i: F.struct(i.alias("i"), k.alias("k")))))
+    return F.array_distinct(F.transform(spans, lambda x: F.concat(F.substring(w, F.lit(1), x["i"]), F.lit("_"), F.substring(w, x["i"] + x["k"] + 1, F.length(w)))))
 
 
 def candidates(readings: DataFrame, reference: DataFrame) -> DataFrame:
-    """(word, n, candidate, m): pairs within two edits, by an inverted join on their rarest 3-grams.
+    """(word, n, candidate, m): pairs that one misreading parts, and most within two edits, by inverted joins.
 
     Two words that one misreading parts share all but SPOILT 3-grams, so the SPOILT + 1 rarest of one
-    and of the other have one in common (prefix filtering); frequent 3-grams never enter the join.
+    and of the other have one in common (prefix filtering). Short words have few 3-grams, frequent ones
+    among them, which would bring a large part of the vocabulary together; they are joined by what is
+    left of them without the letters in question, a key that few words share.
     """
-    grams = reference.select(F.explode(_grams(F.col("candidate"))).alias("g")).groupBy("g").count()
-    ref = reference.withColumn("g", F.explode(_grams(F.col("candidate"))))
-    own = readings.withColumn("g", F.explode(_grams(F.col("word"))))
-
-    def rare(df: DataFrame, key: str, keep: list[str]) -> DataFrame:
-        ranked = df.join(grams, "g", "left").groupBy(key, *keep).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("count", F.lit(0)).alias("c"), "g"))).alias("gs"))
-        return ranked.select(key, *keep, F.explode(F.slice("gs", 1, SPOILT + 1)).alias("x")).select(key, *keep, F.col("x.g").alias("g"), F.col("x.c").alias("c"))
-
-    a = rare(own, "word", ["n"]).where("c > 0").drop("c")
-    b = rare(ref, "candidate", ["m"]).drop("c")
-    pairs = a.join(b, "g").where((F.abs(F.length("word") - F.length("candidate")) <= 2) & (F.col("word") != F.col("candidate")) & (F.col("m") > F.col("n")))
-    return pairs.where(F.levenshtein("word", "candidate", 2) >= 0).select("word", "n", "candidate", "m").distinct()
+    grams = reference.where(F.length("candidate") > SHORT).select(F.explode(_grams(F.col("candidate"))).alias("g")).groupBy("g").count()
+
+    def rare(df: DataFrame, key: str, keep: str) -> DataFrame:
+        own = df.where(F.length(key) > SHORT).withColumn("g", F.explode(_grams(F.col(key))))
+        ranked = own.join(grams, "g", "left").groupBy(key, keep).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("count", F.lit(0)).alias("c"), "g"))).alias("gs"))
+        return ranked.select(key, keep, F.explode(F.slice("gs", 1, SPOILT + 1)).alias("x")).where("x.c > 0").select(key, keep, F.col("x.g").alias("g"))
+
+    def gaps(df: DataFrame, key: str, keep: str) -> DataFrame:
+        return df.where(F.length(key) <= LONG).select(key, keep, F.explode(_gaps(F.col(key))).alias("g"))
+
+    near = (F.abs(F.length("word") - F.length("candidate")) <= 2) & (F.col("word") != F.col("candidate")) & (F.col("m") > F.col("n"))
+    long_ = rare(readings, "word", "n").join(rare(reference, "candidate", "m"), "g").where(near)
+    short = gaps(readings, "word", "n").join(gaps(reference, "candidate", "m"), "g").where(near)
+    pairs = long_.unionByName(short).select("word", "n", "candidate", "m").distinct()
+    return pairs.where(F.levenshtein("word", "candidate", 2) >= 0)
 
 
 def corrections(readings: DataFrame, reference: DataFrame, ranker: Boosted) -> DataFrame:
