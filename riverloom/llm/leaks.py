@@ -355,14 +355,14 @@ def _search(corpus: DataFrame, block: list[Item], v: Vectors, idf: np.ndarray, b
         rows.append(z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9))
         of.append(np.full(len(z), k))
     queries, of_item = np.concatenate(rows).astype(np.float32), np.concatenate(of)
-    shared = spark.sparkContext.broadcast(((idf[:, None] * basis).astype(np.float32), queries, np.flatnonzero(np.diff(of_item, prepend=-1)), block))
+    shared = spark.sparkContext.broadcast(((idf[:, None] * basis).astype(np.float32), queries, np.flatnonzero(np.diff(of_item, prepend=-1)), block, *_owners([v.ids(x.words) for x in block])))
 
     names = ("doc_id", "item_id", "coseno", "palabras", "cambiadas", "respuesta")
     kind = dict(corpus.dtypes)["doc_id"]
     schema = RESULT.replace("doc_id bigint", f"doc_id {kind}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weighted, queries, starts, block = shared.value
+        weighted, queries, starts, block, keys, owners = shared.value
         for b in batches:
             out: dict[str, list] = {k: [] for k in names}
             doc_ids, texts = b.column(0).to_pylist(), b.column(1)
@@ -372,6 +372,7 @@ def _search(corpus: DataFrame, block: list[Item], v: Vectors, idf: np.ndarray, b
                     continue
                 best = np.concatenate([np.maximum.reduceat(z[i : i + 2048] @ queries.T, starts, axis=1) for i in range(0, len(z), 2048)])
                 best = np.maximum.reduceat(best, first, axis=0)
+                best[~_share([ids[i] for i in live], keys, owners, len(block))] = -1.0
                 read: dict[int, list[str]] = {}
                 for a, k in zip(*np.nonzero(best >= cosine)):
                     x, at = block[k], lo + int(live[a])
@@ -391,6 +392,34 @@ def _search(corpus: DataFrame, block: list[Item], v: Vectors, idf: np.ndarray, b
     return corpus.select("doc_id", "text", "ids").mapInArrow(run, schema)
 
 
+def _triples(ids: np.ndarray) -> np.ndarray:
+    """A number for each three hashed terms in a row."""
+    x = ids.astype(np.uint64)
+    return x[:-2] * np.uint64(TERMS * TERMS) + x[1:-1] * np.uint64(TERMS) + x[2:] if len(x) > 2 else np.zeros(0, np.uint64)
+
+
+def _owners(items: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Sorted triples of all items, and the items that hold each."""
+    pairs = [(t, np.full(len(t), k)) for k, t in ((k, np.unique(_triples(x))) for k, x in enumerate(items))]
+    flat, of = np.concatenate([t for t, _ in pairs]), np.concatenate([k for _, k in pairs])
+    order = np.argsort(flat, kind="stable")
+    keys, starts = np.unique(flat[order], return_index=True)
+    return keys, np.split(of[order], starts[1:])
+
+
+def _share(docs: list[np.ndarray], keys: np.ndarray, owners: list[np.ndarray], n: int) -> np.ndarray:
+    """Which items have three terms in a row in common with each text: without them there is no run that a leak needs."""
+    out = np.zeros((len(docs), n), dtype=bool)
+    if not len(keys):
+        return out
+    triples = [_triples(x) for x in docs]
+    flat, of = np.concatenate(triples), np.repeat(np.arange(len(docs)), [len(t) for t in triples])
+    at = np.minimum(np.searchsorted(keys, flat), len(keys) - 1)
+    for i in np.flatnonzero(keys[at] == flat):
+        out[of[i], owners[at[i]]] = True
+    return out
+
+
 def _chunks(column: pa.Array, words_: int = 60_000) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(first row, hashed terms of each row) of runs of rows with about ``words_`` words; a longer text is a run of its own."""
     ends = np.cumsum(np.asarray(column.value_lengths(), dtype=np.int64))
