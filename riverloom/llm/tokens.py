@@ -55,10 +55,10 @@ def _word_ids(words: DataFrame, tokenizer_dir: str | None) -> DataFrame:
 def encode_corpus(documents: DataFrame, tokenizer_dir: str | None = None, hot_words: int = HOT_WORDS) -> DataFrame:
     """Ids of every document by byte_bpe_50k, without special tokens -> (doc_id, ids).
 
-    Pre-tokens are exploded with their positions; each distinct word of the corpus is encoded once;
-    the ids are joined back and reassembled by position. The bounded set of the most frequent words
-    is joined by broadcast, so that words that occur in every document don't skew the shuffle; all
-    other words are joined by shuffle.
+    Each distinct word of the corpus is encoded once. The bounded set of the most frequent words is
+    broadcast and takes its places in each document at once, so that words that occur in every document
+    neither skew the shuffle nor swell it: a document is one row of ids with gaps. The other pre-tokens are
+    exploded with the number of their gap, joined by shuffle and put into the gaps by position.
 
     Null and empty texts give an empty list. Rows equal in doc_id and text give one row; rows that
     share a doc_id but not the text give one row each. A null doc_id is kept. Other columns are
@@ -72,15 +72,56 @@ def encode_corpus(documents: DataFrame, tokenizer_dir: str | None = None, hot_wo
     hot = (
         table.where(F.length("word") <= HOT_CHARS).orderBy(F.desc("n"), "word").limit(hot_words).select("word", F.col("ids").alias("hot_ids"))
     )
-    occ = rows.select("doc_id", "_h", F.posexplode_outer("_w").alias("pos", "word"))
-    found = occ.join(F.broadcast(hot), "word", "left")
-    near = found.where(F.col("hot_ids").isNotNull() | F.col("word").isNull()).select("doc_id", "_h", "pos", F.col("hot_ids").alias("ids"))
-    far = found.where(F.col("hot_ids").isNull() & F.col("word").isNotNull()).select("doc_id", "_h", "pos", "word")
-    far = far.join(table.select("word", "ids"), "word").select("doc_id", "_h", "pos", "ids")
-    parts = near.unionByName(far).groupBy("doc_id", "_h").agg(F.collect_list(F.struct("pos", "ids")).alias("p"))
-    # repeats of a row repeat its (pos, ids) pairs; a sorted list drops them
-    ordered = F.array_distinct(F.array_sort(F.filter("p", lambda x: x["pos"].isNotNull())))
-    return parts.select("doc_id", F.flatten(F.transform(ordered, lambda x: x["ids"])).alias("ids"))
+    shared = documents.sparkSession.sparkContext.broadcast({r.word: list(r.hot_ids) for r in hot.collect()})  # hot_words rows at most
+    kind = dict(documents.dtypes)["doc_id"]
+    packed = rows.mapInArrow(_packer(shared), f"doc_id {kind}, _h long, ids array<int>, words array<string>")
+    rare = packed.select("doc_id", "_h", F.posexplode("words").alias("k", "word")).join(table.select("word", "ids"), "word")
+    none = F.lit(None)
+    parts = packed.select("doc_id", "_h", F.col("ids").alias("base"), none.cast("int").alias("k"), none.cast("array<int>").alias("ids"))
+    parts = parts.unionByName(rare.select("doc_id", "_h", none.cast("array<int>").alias("base"), "k", "ids"))
+    # repeats of a row repeat its gaps; a sorted list drops them
+    filled = F.array_distinct(F.array_sort(F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "ids")))))
+    whole = parts.groupBy("doc_id", "_h").agg(F.first("base", ignorenulls=True).alias("base"), F.transform(filled, lambda x: x["ids"]).alias("gaps"))
+    return whole.select("doc_id", "base", "gaps").mapInArrow(_fill, f"doc_id {kind}, ids array<int>")
+
+
+#: Stands in a document's ids for a word that is joined later.
+GAP = -1
+
+
+def _packer(shared):
+    """Ids of the frequent words of each document, GAP for the others, and those as a list."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = shared.value
+        gap = [GAP]
+        for b in batches:
+            ids, rest = [], []
+            for ws in b.column(2).to_pylist():
+                got = [hot.get(w, gap) for w in ws]
+                rest.append([w for w, g in zip(ws, got) if g is gap])
+                ids.append([i for g in got for i in g])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.list_(pa.int32())), pa.array(rest, pa.list_(pa.string()))], names=["doc_id", "_h", "ids", "words"])
+
+    return run
+
+
+def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Gaps of each document replaced by the ids of its other words, in order."""
+    for b in batches:
+        out = []
+        for base, gaps in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            if gaps:
+                more = iter(gaps)
+                ids: list[int] = []
+                for i in base:
+                    if i == GAP:
+                        ids += next(more)
+                    else:
+                        ids.append(i)
+                base = ids
+            out.append(base)
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
 
 def decode_corpus(encoded: DataFrame, tokenizer_dir: str | None = None) -> DataFrame:
