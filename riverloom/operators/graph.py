@@ -53,6 +53,14 @@ def edges(m: DataFrame) -> DataFrame:
     return g.agg(F.min_by("relacion", "chunk_id").alias("relacion"), F.count(F.lit(1)).alias("support"))
 
 
+def edge_lists(m: DataFrame) -> DataFrame:
+    """A10 for an export, one-hop lookup and consult: (src, dst, relacion, chunk_ids), the sorted set of the fragments of each pair."""
+    a = m.select("chunk_id", F.col("node_id").alias("src"), F.col("ord").alias("i"), "relacion")
+    b = m.select("chunk_id", F.col("node_id").alias("dst"), F.col("ord").alias("j"))
+    g = a.join(b, "chunk_id").where("i < j").groupBy("src", "dst")
+    return g.agg(F.min_by("relacion", "chunk_id").alias("relacion"), F.array_sort(F.collect_set("chunk_id")).alias("chunk_ids"))
+
+
 def mentions_of(node_table: DataFrame) -> DataFrame:
     """The node table's fragments as rows (node_id, chunk_id)."""
     return node_table.select("node_id", F.explode(F.array_distinct("chunk_ids")).alias("chunk_id"))

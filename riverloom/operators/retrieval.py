@@ -69,15 +69,24 @@ def capped(rows: DataFrame, cfg: Retrieval = RETRIEVAL) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(b).cast("bigint")).where(F.col("rank") <= cfg.fragments).drop("rnd")
 
 
-def documents(rows: DataFrame, cfg: Retrieval = RETRIEVAL, digits: int = 6) -> DataFrame:
-    """Best documents of each question, grouped by source, reported by their best fragment's doc_id."""
+def documents(rows: DataFrame, cfg: Retrieval = RETRIEVAL, digits: int = 6, fill: DataFrame | None = None) -> DataFrame:
+    """Best documents of each question, grouped by source, reported by their best fragment's doc_id.
+
+    Where ``rows`` has fewer sources than are asked for, those of ``fill``, the whole pool, follow in its order.
+    """
     source = F.coalesce(F.nullif(F.trim("fuente"), F.lit("")), F.col("doc_id"))
-    g = rows.groupBy("query_id", source.alias("grupo")).agg(
-        F.max("p").alias("m"), F.sum(F.greatest("p", F.lit(0.0))).alias("s"), F.max_by("doc_id", F.struct("p", F.col("chunk_id"))).alias("doc_id")
-    )
-    score = F.round(F.col("m") + cfg.document_bonus * (F.col("s") - F.greatest("m", F.lit(0.0))), digits)
-    w = Window.partitionBy("query_id").orderBy(F.desc("puntos"), "grupo")
-    return g.withColumn("puntos", score).withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= cfg.documents)
+
+    def scored(x: DataFrame) -> DataFrame:
+        g = x.groupBy("query_id", source.alias("grupo")).agg(
+            F.max("p").alias("m"), F.sum(F.greatest("p", F.lit(0.0))).alias("s"), F.max_by("doc_id", F.struct("p", F.col("chunk_id"))).alias("doc_id")
+        )
+        return g.withColumn("puntos", F.round(F.col("m") + cfg.document_bonus * (F.col("s") - F.greatest("m", F.lit(0.0))), digits))
+
+    g = scored(rows).withColumn("tarde", F.lit(0))
+    if fill is not None:
+        g = g.unionByName(scored(fill).join(g.select("query_id", "grupo"), ["query_id", "grupo"], "left_anti").withColumn("tarde", F.lit(1)))
+    w = Window.partitionBy("query_id").orderBy("tarde", F.desc("puntos"), "grupo")
+    return g.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= cfg.documents).drop("tarde")
 
 
 def results(fragments: DataFrame, docs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import graph as G
 from ..operators import lexical as L
-from ..session import load
+from ..session import cut, load
 from . import sqltext as Q
 
 
@@ -68,7 +68,7 @@ def neighbor_topk(s, d):
 
 def graph_evidence(s, d):
     m = G.mentions_of(load(s, d, "nodos"))
-    entities = _entities(s, d).persist()  # a few rows for each question, read twice
+    entities = cut(_entities(s, d))  # a few rows for each question, read twice
     e = G.evidence(entities, m, _near(s, d, entities), load(s, d, "metadata"))
     return e.select("query_id", "chunk_id", F.round("score", 5).alias("score"))
 
@@ -98,6 +98,10 @@ def graph_edges(s, d):
     return G.edges(_mentions(s, d))
 
 
+def graph_edge_lists(s, d):
+    return G.edge_lists(_mentions(s, d)).select("src", "dst", "relacion", F.array_join("chunk_ids", "|").alias("chunk_ids"))
+
+
 def entity_match(s, d):
     """J7 with the questions' capitalised names as recognised entities."""
     names = load(s, d, "consultas").select("query_id", F.explode(F.regexp_extract_all("consulta", F.lit(G.NAME), F.lit(0))).alias("entidad")).distinct()
@@ -166,6 +170,10 @@ QUERIES = {
         graph_edges,
         f"with {_MEN} select a.node_id as src, b.node_id as dst, arg_min(a.relacion, a.chunk_id) as relacion, count(*) as support from men a join men b on a.chunk_id = b.chunk_id and a.ord < b.ord group by 1, 2",
     ),
+    "graph_edge_lists": (
+        graph_edge_lists,
+        f"with {_MEN} select a.node_id as src, b.node_id as dst, arg_min(a.relacion, a.chunk_id) as relacion, array_to_string(list_sort(list(distinct a.chunk_id)), '|') as chunk_ids from men a join men b on a.chunk_id = b.chunk_id and a.ord < b.ord group by 1, 2",
+    ),
     "entity_match": (
         entity_match,
         rf"""with n as (select distinct query_id, unnest(regexp_extract_all(consulta, '\p{{Lu}}\p{{L}}{{2,}}(?: \p{{Lu}}\p{{L}}{{2,}}){{0,3}}')) as entidad from consultas),

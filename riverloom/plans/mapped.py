@@ -57,6 +57,21 @@ def map_quality(s, d):
     return QC.report(QC.municipalities(m, 100), QC.map_texts(M.chunks(m)))
 
 
+def tile_identity(s, d):
+    """Documents of tiles by an inventory that knows every third tile, else by their path."""
+    n = F.col("s_suppkey")
+    inventory = load(s, d, "supplier").where(n % 3 == 0).select(
+        F.concat(F.lit("5/"), (n % 9).cast("string"), F.lit("/"), n.cast("string"), F.lit(".pbf")).alias("clave"), F.concat(F.lit("AU-"), n.cast("string")).alias("doc_id"), F.col("s_name").alias("fuente")
+    )
+    return M.tile_identity(_features(s, d).select("ruta", "zoom", "tile_x"), inventory).select("ruta", "doc_id", "fuente")
+
+
+def zoom_distribution(s, d):
+    """Municipalities kept at each zoom, and their share."""
+    g = municipality_dedup(s, d).groupBy("zoom").agg(F.count(F.lit(1)).alias("municipios"), F.sum("n_apariciones").alias("apariciones"))
+    return g.select("zoom", "municipios", "apariciones")
+
+
 _FLAGS = ", ".join(f"case when s_suppkey % {i + 2} = 0 then '{v}' end" for i, v in enumerate(M.GROUPS.values()))
 QUERIES = {
     "tile_centroid": (
@@ -71,6 +86,17 @@ QUERIES = {
         s as (select id_municipio, array_to_string(list_sort(list(distinct ruta)), '|') as fuentes from o group by 1)
         select a.id_municipio, zoom, tile_x, tile_y, capa, n as n_apariciones, fuentes from a join s using (id_municipio) where rn = 1""",
     ),
+    "tile_identity": (
+        tile_identity,
+        """select '5/9/' || s_suppkey || '.pbf' as ruta, case when s_suppkey % 3 = 0 then 'AU-' || s_suppkey else 'tesela_5_9_' || s_suppkey end as doc_id,
+        case when s_suppkey % 3 = 0 then s_name else '5/9/' || s_suppkey || '.pbf' end as fuente from supplier""",
+    ),
+    "zoom_distribution": (
+        zoom_distribution,
+        """with o as (select o_custkey as id_municipio, o_orderkey % 5 as zoom, o_orderkey % 11 as tile_x, o_orderkey % 13 as tile_y, o_orderpriority || '/' || o_orderkey as ruta from orders),
+        a as (select *, row_number() over (partition by id_municipio order by zoom, tile_x, tile_y, ruta) as rn, count(*) over (partition by id_municipio) as n from o)
+        select zoom, count(*) as municipios, sum(n)::bigint as apariciones from a where rn = 1 group by zoom""",
+    ),
     "bool_flags": (
         bool_flags,
         f"""with g as (select s_suppkey, list_filter([{_FLAGS}], lambda x: x is not null) as l from supplier)

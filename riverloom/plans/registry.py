@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import corpora, graphs, mapped, retrievals, texts, vectors
+from . import corpora, files, graphs, mapped, retrievals, texts, vectors
 
-_ALL = texts.QUERIES | corpora.QUERIES | vectors.QUERIES | graphs.QUERIES | retrievals.QUERIES | mapped.QUERIES
+_ALL = texts.QUERIES | corpora.QUERIES | vectors.QUERIES | graphs.QUERIES | retrievals.QUERIES | mapped.QUERIES | files.QUERIES
 
 
 def queries():

@@ -68,12 +68,13 @@ def documents_top3(s, d):
 def hybrid_results(s, d):
     """Both fusions, the second over the refined fragments, up to the nested result."""
     base = Base(s, d)
-    top = cut(base.top().select("query_id", "chunk_id", "doc_id", "fuente", "coseno"))  # else each use searches anew
+    pool = cut(base.fused().select("query_id", "chunk_id", "doc_id", "fuente", "coseno", "p"))  # else each use searches anew
+    top = R.best(pool, RETRIEVAL.refine).drop("p", "previo")
     texts = top.join(base.frags.select("chunk_id", "texto"), "chunk_id")
     windows = R.best_window(texts, base.queries)
     again = top.drop("coseno").join(windows, ["query_id", "chunk_id"]).withColumnRenamed("coseno_refinado", "coseno")
     ranked = R.fused(again, base.evidence)
-    return R.results(R.capped(ranked), R.documents(ranked))
+    return R.results(R.capped(ranked), R.documents(ranked, fill=pool))
 
 
 def result_json(s, d):

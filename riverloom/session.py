@@ -32,7 +32,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shared(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder: the context's, else the session's ``spark.checkpoint.dir``.
 
     Where neither is set, a run within one process (``local[n]``, as in tests) makes a folder of its own; a cluster raises.
@@ -50,13 +50,13 @@ def _shared(spark: SparkSession) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the cluster's shared checkpoint folder and cut its lineage."""
-    _shared(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table of the shared folder: cuts the lineage as ``cut`` does, and later reads take only the columns they need."""
-    path = f"{_shared(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
