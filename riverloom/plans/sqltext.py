@@ -27,11 +27,16 @@ def words(x: str) -> str:
     return f"list_filter(string_split(regexp_replace({x}, '{WS}+', ' ', 'g'), ' '), lambda t: t <> '')"
 
 
-#: Sentences as rows (chunk_id, t, k, s) of the fragments with text.
-SENTENCES = rf"""f as (select distinct chunk_id, {strip('texto')} as t from metadata where texto is not null),
-l as (select chunk_id, t, list_filter(list_transform(string_split(regexp_replace(t, '([.!?…])["''”’)\]]*{WS}+([¿¡"''“(\[]*[A-ZÁÉÍÓÚÑÜ0-9])', '\1' || chr(30) || '\2', 'g'), chr(30)),
+def sentences(key: str, text: str, table: str) -> str:
+    """Sentences as rows (key, t, k, s) of the rows with text."""
+    return rf"""f as (select distinct {key}, {strip(text)} as t from {table} where {text} is not null),
+l as (select {key}, t, list_filter(list_transform(string_split(regexp_replace(t, '([.!?…])["''”’)\]]*{WS}+([¿¡"''“(\[]*[A-ZÁÉÍÓÚÑÜ0-9])', '\1' || chr(30) || '\2', 'g'), chr(30)),
       lambda x: {strip('x')}), lambda x: x <> '') as l from f where t <> ''),
-p as (select chunk_id, t, unnest(range(1, len(l) + 1)) as i, unnest(l) as s from l),
-q as (select *, case when regexp_matches(lag(s) over (partition by chunk_id order by i), '(?i){ABBR}') then 0 else 1 end as b from p),
-g as (select *, sum(b) over (partition by chunk_id order by i) as k from q),
-sent as (select chunk_id, t, k, string_agg(s, ' ' order by i) as s from g group by chunk_id, t, k)"""
+p as (select {key}, t, unnest(range(1, len(l) + 1)) as i, unnest(l) as s from l),
+q as (select *, case when regexp_matches(lag(s) over (partition by {key} order by i), '(?i){ABBR}') then 0 else 1 end as b from p),
+g as (select *, sum(b) over (partition by {key} order by i) as k from q),
+sent as (select {key}, t, k, string_agg(s, ' ' order by i) as s from g group by {key}, t, k)"""
+
+
+#: Sentences of the fragments.
+SENTENCES = sentences("chunk_id", "texto", "metadata")

@@ -76,7 +76,23 @@ QUERIES = {
         e as (select *, array_to_string(list_slice(l, ini + 1, fin), ' ') as cut from c)
         select chunk_id, case when len(l) >= 2 and ini < fin and len({Q.words('cut')}) >= 0.6 * len({Q.words('t')}) then {Q.strip('cut')} else t end as recorte from e""",
     ),
-    "windows_250": (windows_250, None),
+    "windows_250": (
+        windows_250,
+        f"""with recursive {Q.sentences("doc_id", "text", "documents")}, n as (select doc_id, k, len({Q.words('s')}) as n from sent),
+        total as (select doc_id, len({Q.words('text')}) as total from documents where text is not null),
+        r as (
+          select doc_id, 0 as k, 0 as held, 0 as words, 0 as last, null::bigint as e1, null::bigint as e2, null::bigint as e3 from total where total > 250
+          union all
+          select doc_id, k, case when alone then 0 else held + 1 end, case when alone then 0 else words + n end, case when alone then 0 else n end, e1, e2, case when alone then 250 end from (
+            select *, held = 0 and n > 250 as alone from (
+              select doc_id, k, n, case when not over then held when last + n <= 250 and held > 1 then 1 else 0 end as held, case when not over then words when last + n <= 250 and held > 1 then last else 0 end as words,
+                case when over then words end as e1, case when over and held > 1 and last + n > 250 then last end as e2
+              from (select r.doc_id, n.k, n.n, r.held, r.words, r.last, r.held > 0 and r.words + n.n > 250 as over from r join n on n.doc_id = r.doc_id and n.k = r.k + 1)))),
+        e as (select doc_id, k, 1 as o, e1 as p from r union all select doc_id, k, 2, e2 from r union all select doc_id, k, 3, e3 from r
+          union all select doc_id, k, 4, words from (select *, row_number() over (partition by doc_id order by k desc) as rn from r) where rn = 1 and held > 0)
+        select doc_id, (row_number() over (partition by doc_id order by k, o) - 1)::int as i, p::int as palabras from e where p is not null
+        union all select doc_id, 0, total::int from total where total <= 250""",
+    ),
     "strip_accents": (strip_accents, "select node_id, strip_accents(texto) as sin_tildes from nodos"),
     "fragment_fields": (
         fragment_fields,
