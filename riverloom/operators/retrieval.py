@@ -69,10 +69,10 @@ def capped(rows: DataFrame, cfg: Retrieval = RETRIEVAL) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(b).cast("bigint")).where(F.col("rank") <= cfg.fragments).drop("rnd")
 
 
-def documents(rows: DataFrame, cfg: Retrieval = RETRIEVAL, digits: int = 6, fill: DataFrame | None = None) -> DataFrame:
+def documents(rows: DataFrame, cfg: Retrieval = RETRIEVAL, digits: int = 7, fill: DataFrame | None = None) -> DataFrame:
     """Best documents of each question, grouped by source, reported by their best fragment's doc_id.
 
-    Where ``rows`` has fewer sources than are asked for, those of ``fill``, the whole pool, follow in its order.
+    Points have one digit more than p, so that none lies between two roundings. Where ``rows`` has fewer sources than are asked for, those of ``fill``, the whole pool, follow in its order.
     """
     source = F.coalesce(F.nullif(F.trim("fuente"), F.lit("")), F.col("doc_id"))
 

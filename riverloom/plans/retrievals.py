@@ -123,7 +123,7 @@ QUERIES = {
     "documents_top3": (
         documents_top3,
         f"""with {_POOL}, {_FUSED}, g as (select query_id, coalesce(nullif(trim(fuente), ''), doc_id) as grupo, max(p) as m, sum(greatest(p, 0)) as s, arg_max(doc_id, (p, chunk_id)) as doc_id from top group by 1, 2),
-        t as (select *, round(m + 0.3 * (s - greatest(m, 0)), 6) as puntos from g)
+        t as (select *, round(m + 0.3 * (s - greatest(m, 0)), 7) as puntos from g)
         select query_id, rank, doc_id, puntos from (select *, row_number() over (partition by query_id order by puntos desc, grupo) as rank from t) where rank <= 3""",
     ),
     "best_window": (best_window, None),
