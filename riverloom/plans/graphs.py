@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import graph as G
 from ..operators import lexical as L
-from ..session import cut, load
+from ..session import cut, load, spread
 from . import sqltext as Q
 
 
@@ -15,7 +15,7 @@ def _total(s, d):
 
 
 def _texts(s, d):
-    return load(s, d, "metadata").select("chunk_id", "texto")  # repeats of a fragment fall together in its terms
+    return spread(load(s, d, "metadata").select("chunk_id", "texto"))  # repeats of a fragment fall together in its terms
 
 
 def _phrases(s, d):
@@ -83,7 +83,7 @@ def one_hop_evidence(s, d):
 
 
 def _mentions(s, d):
-    return G.mentions(load(s, d, "metadata").select("chunk_id", "doc_id", "fenomeno", "texto").where("texto is not null"))
+    return G.mentions(spread(load(s, d, "metadata").select("chunk_id", "doc_id", "fenomeno", "texto").where("texto is not null")))
 
 
 def entity_mentions(s, d):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import load
+from ..session import load, spread
 from . import sqltext as Q
 
 
@@ -15,7 +15,7 @@ def text_normalize(s, d):
 
 
 def _texts(s, d):
-    return load(s, d, "metadata").select("chunk_id", "texto").where("texto is not null").where(T.strip(F.col("texto")) != "")
+    return spread(load(s, d, "metadata").select("chunk_id", "texto").where("texto is not null")).where(T.strip(F.col("texto")) != "")
 
 
 def sentence_split(s, d):

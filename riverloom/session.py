@@ -74,3 +74,10 @@ def small(df: DataFrame, most: int = 50_000) -> DataFrame:
 def small_enough(df: DataFrame, most: int = 50_000) -> bool:
     """At most ``most`` rows; the count stops after them."""
     return df.limit(most + 1).count() <= most
+
+
+def spread(df: DataFrame, under: int = 16 << 20) -> DataFrame:
+    """A small table, often one file and so one task, over as many partitions as there are cores; judged by the plan's size alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < under else df
