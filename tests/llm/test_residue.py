@@ -1,5 +1,7 @@
 """Problem 2 on notices, filler and prose that the models have never seen: at least 0.9 of both recall and precision."""
 
+import numpy as np
+
 from riverloom.llm import residue, residue_text
 
 UNSEEN = """La página a la que intenta entrar no está publicada.|Error 410: este contenido fue eliminado de manera permanente.|No se pudo establecer conexión con el servidor.|Usted no tiene autorización para consultar este archivo.|Su cuenta fue bloqueada por intentos fallidos.|Espere unos segundos y recargue la página.|Este enlace ya no funciona.|Vuelva a iniciar sesión para ver el documento.|El sitio se encuentra en mantenimiento.|Demuestre que no es un robot.
@@ -46,3 +48,21 @@ def test_windows_are_localised(spark):
     assert [(r.chunk_id, text[r.inicio : r.fin].strip(), r.clase) for r in w] == [("a", "El sitio se encuentra en mantenimiento.", "aviso")]
     assert {"b", "e", "n"} <= (kept := {r.chunk_id for r in residue.keep(df).collect()}) and "a" not in kept and residue.keep(df, 0.9).where("chunk_id = 'a'").count() == 2
     assert residue.residue_windows(df.limit(0)).count() == 0
+
+
+def test_fit_counts_every_fragment(spark):
+    """No sample: the distributed fit equals the fit on all texts at once, however the table is cut, also beyond the size that weights are set for."""
+    texts = [f"{a} {b} {i % 7}" for i, (a, b) in enumerate(zip(_split(SOUND) * 65, _split(SOUND)[7:] * 70))]
+    texts += ["La ficha quedó sin abrirse, toque otra vez el recuadro. Elija otro visor."] * 40
+    df = spark.createDataFrame([(f"k{i}", t) for i, t in enumerate(texts)] + [("n", None)], "chunk_id string, texto string")
+    whole = [t.view(np.float32) for t in residue.ResidueModel(texts).tables]
+    for rows in (df.repartition(3), df.repartition(7, "texto")):
+        fitted = [t.view(np.float32) for t in residue.fit_residue(rows).tables]
+        assert len(texts) > 6000 and all(np.array_equal(a, b) for a, b in zip(fitted, whole))
+
+
+def test_windows_hang_on_their_own_text_alone():
+    texts = ["null", "El sitio se encuentra en mantenimiento.", "", "La escuela perdió el techo."]
+    model = residue.ResidueModel(_split(SOUND))
+    together, alone = model.windows(texts), [model.windows([t]) for t in texts]
+    assert together.ratio.tolist() == [x for w in alone for x in w.ratio.tolist()]
