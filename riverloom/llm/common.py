@@ -48,14 +48,6 @@ def map_columns(df: DataFrame, columns: list[str], schema: str, f: Callable[[dic
     return spread(df.select(*[F.col(c) for c in columns])).mapInArrow(run, schema)
 
 
-def sample_texts(fragments: DataFrame, n: int) -> list[str]:
-    """Texts of about ``n`` fragments, at most ``2 * n``, chosen by hash: the bounded sample that models are fitted on."""
-    rows = fragments.where(F.col("texto").isNotNull())
-    every = max(1, fragments.count() // n)  # of a table: from its footers
-    picked = rows.where(F.pmod(F.xxhash64("chunk_id"), F.lit(every)) == 0).select("texto")
-    return [r.texto for r in picked.limit(2 * n).collect()]
-
-
 #: Numbers in a block of ``sum_arrays``.
 BLOCK = 1 << 13
 
@@ -93,4 +85,4 @@ def sum_arrays(df: DataFrame, columns: list[str], f: Callable[[dict[str, list]],
     return out.reshape(shape)
 
 
-__all__ = ["cut", "map_columns", "sample_texts", "spread", "stored", "sum_arrays", "tokenizer_bytes"]
+__all__ = ["cut", "map_columns", "spread", "stored", "sum_arrays", "tokenizer_bytes"]

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import re
 import unicodedata
-from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..session import ship
 from . import quality, residue
-from .common import map_columns, sample_texts
+from .common import cut, map_columns, spread
 
 LATIN = ("es", "en", "pt", "fr", "de")
-# Frequent function words that start the fit; the rest is learnt from the sample.
+# Frequent function words that start the fit; the rest is learnt from the table.
 SEEDS = {
     "es": "el la los las de del que y en un una por con para se su al lo como más pero sus fue son está desde entre sin sobre según durante cuando también muy hasta este esta ya no es ha",
     "en": "the of and to in is was for on with at by from as that this are be has have which their its it an were or not but after during between about according near since been had who",
@@ -40,14 +44,16 @@ SCRIPTS = [
 OTHER = tuple(x[0] for x in SCRIPTS)
 STATES = LATIN + OTHER
 WORD = re.compile(r"[^\W\d_]+")
-#: Closing marks, then white space; or a blank line.
-PIECES = re.compile(r"(?<=[.!?…])[\"»”’)\]]*\s+|(?<=[。！？])|\n\s*\n")
 #: Cost of a change of language inside a sentence and between two, in nats.
 SWITCH, SWITCH_SENTENCE = 9.0, 4.0
 LEAST_WORDS, WHOLE, MARGIN = 4, 0.9, 4.0
 CAP = 5.0
 #: A text of which less than this share of the words was ever seen in its best language is in none of those that the model knows.
 SEEN = 0.35
+#: Rates in 10,000 under which a word or trigram says nothing of its language (log(1 + RARE) is 0.1); a rare word is scored by its trigrams, as an
+#: unseen one. Rates don't change with the size of the table, from so many words and trigrams of a language on.
+RARE, RARE_GRAM = 0.1, 0.02
+LEAST_TOTAL, LEAST_GRAMS = 2000, 8000
 
 
 #: Words, and what ends a piece.
@@ -63,44 +69,110 @@ def label(name: str | None) -> str | None:
     return _BY_NAME.get(re.split(r"[-_ (]", s)[0]) if s else None
 
 
-def _pieces(text: str) -> list[str]:
-    return [p for p in PIECES.split(text) if p.strip()]
+_SEED_SETS = {k: set(v.split()) for k, v in SEEDS.items()}
+#: Votes of a function word for its languages, in whole numbers.
+VOTE = 60
 
 
-class LanguageModel:
-    """Per-word scores of the Latin-script languages: rates in the sample, character trigrams for unseen words."""
-
-    def __init__(self, texts: list[str]):
-        seeds = {k: set(v.split()) for k, v in SEEDS.items()}
-        counts = {k: Counter({w: 3 for w in seeds[k]}) for k in LATIN}
-        grams = {k: Counter() for k in LATIN}
-        for t in texts:
-            open_: list[list[str]] = []
-            decided: set[str] = set()
-            for p in _pieces(t):
-                ws = [w.lower() for w in WORD.findall(p)]
-                votes = {k: sum(w in seeds[k] and 1.0 / sum(w in s for s in seeds.values()) for w in ws) for k in LATIN}
-                order = sorted(votes.values(), reverse=True)
-                if len(ws) >= 4 and order[0] >= 0.15 * len(ws) and order[0] > 1.5 * order[1]:
-                    best = max(votes, key=votes.get)
-                    decided.add(best)
-                    self._count(ws, counts[best], grams[best])
-                elif len(ws) >= 4:
-                    open_.append(ws)
-            if len(decided) == 1:  # the other pieces go with the text's only language
-                best = decided.pop()
-                for ws in open_:
-                    self._count(ws, counts[best], grams[best])
-        self.rates = {k: {w: 1e4 * n / max(2000, sum(c.values())) for w, n in c.items()} for k, c in counts.items()}
-        self.grams = {k: {g: 1e4 * n / max(8000, sum(c.values())) for g, n in c.items()} for k, c in grams.items()}
+class WordCounts:
+    """Words of the pieces that function words label, counted by language; a text's other pieces go with its only language."""
+
+    def __init__(self):
         self.clear()
 
-    @staticmethod
-    def _count(ws: list[str], words: Counter, grams: Counter) -> None:
-        words.update(ws)
-        for w in ws:
-            v = f" {w} "
-            grams.update(v[i : i + 3] for i in range(len(v) - 2))
+    def clear(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.words: dict[str, int] = {}
+        self.votes: list[list[int]] = []
+        self.table = np.zeros((0, len(LATIN)), dtype=np.int64)
+        self.counts = np.zeros((0, len(LATIN)), dtype=np.int64)
+
+    def _learn(self, tokens: list[str]) -> None:
+        for w in set(tokens):
+            if w in self.ids:
+                continue
+            if not w[0].isalpha():
+                self.ids[w] = -1
+                continue
+            v = w.lower()
+            if v not in self.words:
+                self.words[v] = len(self.votes)
+                held = [v in _SEED_SETS[k] for k in LATIN]
+                self.votes.append([x * VOTE // max(1, sum(held)) for x in held])
+            self.ids[w] = self.words[v]
+        self.table = np.array(self.votes, dtype=np.int64).reshape(-1, len(LATIN))
+
+    def add(self, texts: list[str]) -> None:
+        split = [TOKEN.findall(t) for t in texts]
+        flat = list(itertools.chain.from_iterable(split))
+        if not flat:
+            return
+        try:
+            ids = list(map(self.ids.__getitem__, flat))
+        except KeyError:
+            self._learn(flat)
+            ids = list(map(self.ids.__getitem__, flat))
+        ids = np.array(ids, dtype=np.int64)
+        text = np.repeat(np.arange(len(texts)), [len(x) for x in split])
+        word = ids >= 0
+        # a piece is what one text holds between two tokens that end pieces
+        piece = np.cumsum(~word) + text
+        ids, text, piece = ids[word], text[word], piece[word]
+        begins = np.flatnonzero(np.diff(piece, prepend=-1))
+        if not len(begins):
+            return
+        size, text = np.diff(np.append(begins, len(piece))), text[begins]
+        votes = np.add.reduceat(self.table[ids], begins)
+        order = np.sort(votes, axis=1)
+        best = votes.argmax(1)
+        # at least 0.15 votes a word, and over 1.5 times those of the next language
+        sure = (size >= 4) & (100 * order[:, -1] >= 15 * VOTE * size) & (2 * order[:, -1] > 3 * order[:, -2])
+        decided = np.zeros((len(texts), len(LATIN)), dtype=bool)
+        decided[text[sure], best[sure]] = True
+        only = decided.sum(1) == 1
+        best = np.where(sure, best, decided.argmax(1)[text])
+        counted = np.repeat(sure | (size >= 4) & only[text], size)
+        at = ids[counted] * len(LATIN) + np.repeat(best, size)[counted]
+        total = np.bincount(at, minlength=self.table.size).reshape(-1, len(LATIN))
+        total[: len(self.counts)] += self.counts
+        self.counts = total
+
+    def rows(self) -> tuple[list[str], np.ndarray]:
+        """The words with a count, and their counts by language."""
+        some = np.flatnonzero(self.counts.any(1))
+        words = list(self.words)
+        return [words[i] for i in some], self.counts[some]
+
+
+def _trigrams(word: str) -> list[str]:
+    v = f" {word} "
+    return [v[i : i + 3] for i in range(len(v) - 2)]
+
+
+class LanguageModel:
+    """Per-word scores of the Latin-script languages: rates over all fragments, character trigrams for words that are rare or unseen.
+
+    Fitted on a list of texts, or by ``count_words`` on a table.
+    """
+
+    def __init__(self, texts: list[str] | None = None, counted: tuple[dict, list[int], dict, list[int]] | None = None):
+        if counted is None:
+            c = WordCounts()
+            c.add(texts or [])
+            words, n = c.rows()
+            grams: dict[str, np.ndarray] = {}
+            for w, x in zip(words, n):
+                for g in _trigrams(w):
+                    grams[g] = grams.get(g, 0) + x
+            # also of no words
+            counted = dict(zip(words, n.tolist())), n.sum(0).tolist(), {g: x.tolist() for g, x in grams.items()}, sum(grams.values(), np.zeros(len(LATIN), dtype=np.int64)).tolist()
+        words, total, grams, gram_total = counted
+        seeds = {w: [3 * (w in _SEED_SETS[k]) for k in LATIN] for w in set().union(*_SEED_SETS.values())}
+        words = words | {w: [a + b for a, b in zip(x, words.get(w, [0] * len(LATIN)))] for w, x in seeds.items()}
+        total = [n + 3 * len(_SEED_SETS[k]) for n, k in zip(total, LATIN)]
+        self.rates = _rates(words, total, LEAST_TOTAL, RARE)
+        self.grams = _rates(grams, gram_total, LEAST_GRAMS, RARE_GRAM)
+        self.clear()
 
     def clear(self) -> None:
         """Forget the words seen, which changes no score."""
@@ -109,7 +181,7 @@ class LanguageModel:
         self.table = np.zeros((0, len(STATES)), dtype=np.float32)
         self.words: list[str] = []
         self.scores: dict[str, list[float]] = {}
-        for g in set().union(*self.grams.values()):
+        for g in sorted(set().union(*self.grams.values())):
             x = [math.log(self.grams[k].get(g, 0.0) + 2.0) for k in LATIN]
             self.scores[g] = [y - sum(x) / len(x) for y in x]
 
@@ -125,8 +197,7 @@ class LanguageModel:
         r = np.log([self.rates[k].get(w, 0.0) + 1.0 for k in LATIN])
         seen = any(w in self.rates[k] for k in LATIN)
         if not seen:
-            v = f" {w} "
-            known = [self.scores[t] for t in (v[i : i + 3] for i in range(len(v) - 2)) if t in self.scores]
+            known = [self.scores[t] for t in _trigrams(w) if t in self.scores]
             r = np.clip(0.35 * np.sum(known, axis=0), -1.0, 1.0) if known else np.zeros(len(LATIN))
         r = r - r.mean()
         if word[:1].isupper() and not word.isupper():  # names say less
@@ -274,7 +345,7 @@ def analyse(texts: list[str], model: LanguageModel, spans: bool = False) -> list
             out[i] = {"main": STATES[main], "confidence": _sure(sure[j]), "whole": sorted(STATES[x] for x in full_), "segments": _spans(texts[i], path[lo:hi], rows[lo:hi])}
             if main < len(LATIN):
                 known = model.rates[LATIN[main]]
-                seen = sum(model.words[w] in known for w in ids[lo:hi]) / (hi - lo)
+                seen = sum(known.get(model.words[w], 0.0) >= RARE for w in ids[lo:hi]) / (hi - lo)
                 if seen < SEEN:
                     out[i] = {"main": "und", "confidence": 1.0 - seen, "whole": [], "segments": [("und", 0, len(texts[i]), 1.0 - seen)]}
             continue
@@ -303,9 +374,58 @@ def _sure(margin: float) -> float:
     return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, margin))))
 
 
-def _models(fragments: DataFrame, sample: int):
-    texts = sample_texts(fragments, sample)
-    return fragments.sparkSession.sparkContext.broadcast((LanguageModel(texts), residue.ResidueModel(texts)))
+def _rates(counts: dict[str, list[int]], total: list[int], least: int, rare: float) -> dict[str, dict[str, float]]:
+    """By language the rates in 10,000, of what isn't rare in all of them."""
+    each = {w: [1e4 * n / max(least, t) for n, t in zip(x, total)] for w, x in counts.items()}
+    return {k: {w: x[i] for w, x in each.items() if x[i] and max(x) >= rare} for i, k in enumerate(LATIN)}
+
+
+#: Words of a partition after which their counts are passed on.
+MOST_WORDS = 500_000
+
+
+def count_words(fragments: DataFrame) -> tuple[dict, list[int], dict, list[int]]:
+    """What ``LanguageModel`` is fitted on, counted over all fragments: words and the sum of all words by language, trigrams and their sum.
+
+    Everything is counted; of words and trigrams only those come to the driver that aren't rare, and so at most
+    10,000 / RARE words a language, however large the table is.
+    """
+    ship(fragments.sparkSession)
+    names = [f"n_{k}" for k in LATIN]
+    schema = pa.schema([("palabra", pa.string()), *((x, pa.int64()) for x in names)])
+
+    def emit(c: WordCounts) -> Iterator[pa.RecordBatch]:
+        words, n = c.rows()
+        for i in range(0, len(words), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(words[i : i + 50_000], pa.string()), *(pa.array(x) for x in n[i : i + 50_000].T)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = WordCounts()
+        for b in batches:
+            c.add(b.column(0).to_pylist())
+            if len(c.ids) > MOST_WORDS:
+                yield from emit(c)
+                c.clear()
+        yield from emit(c)
+
+    texts = fragments.where(F.col("texto").isNotNull())
+    ddl = "palabra string, " + ", ".join(f"{x} bigint" for x in names)
+    sums = [F.sum(x).alias(x) for x in names]
+    words = cut(spread(texts.select("texto"), texts).mapInArrow(run, ddl).groupBy("palabra").agg(*sums))
+    padded = F.concat(F.lit(" "), "palabra", F.lit(" "))
+    grams = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("palabra")), lambda i: F.substring(padded, i, F.lit(3)))).alias("palabra"), *names)
+    grams = cut(grams.groupBy("palabra").agg(*sums))
+
+    def held(df: DataFrame, least: int, rare: float, always: frozenset = frozenset()) -> tuple[dict[str, list[int]], list[int]]:
+        total = [n or 0 for n in df.agg(*sums).first()]
+        often = functools.reduce(lambda a, b: a | b, (1e4 * F.col(x) >= rare * max(least, t) for x, t in zip(names, total)))
+        return {r[0]: list(r[1:]) for r in df.where(often | F.col("palabra").isin(*always)).collect()}, total
+
+    return *held(words, LEAST_TOTAL, 0.9 * RARE, frozenset().union(*_SEED_SETS.values())), *held(grams, LEAST_GRAMS, 0.9 * RARE_GRAM)
+
+
+def _models(fragments: DataFrame):
+    return fragments.sparkSession.sparkContext.broadcast((LanguageModel(counted=count_words(fragments)), residue.fit_residue(fragments)))
 
 
 RESULT = "chunk_id string, etiqueta string, idioma string, confianza double, idiomas array<string>, tramos array<struct<idioma:string,desde:int,hasta:int,confianza:double>>, excluido boolean"
@@ -318,7 +438,7 @@ def _judge(d: dict[str, list], words: LanguageModel, res: residue.ResidueModel)
     return skip, analyse(["" if s else t for t, s in zip(texts, skip)], words)
 
 
-def languages(fragments: DataFrame, sample: int = 3000) -> DataFrame:
+def languages(fragments: DataFrame) -> DataFrame:
     """Language of every fragment and of its stretches.
 
     -> (chunk_id, etiqueta, idioma, confianza, idiomas, tramos, excluido). ``etiqueta`` is the label's
@@ -326,9 +446,9 @@ def languages(fragments: DataFrame, sample: int = 3000) -> DataFrame:
     in none that the model knows; ``idiomas`` all with a whole sentence, ``tramos`` stretches of words by
     language, also within a sentence: code point offsets ``desde`` and ``hasta`` and a confidence each.
     ``excluido`` are fragments that aren't natural text (problems 2 and 5); they have a language too. Null
-    and blank texts, and texts without words, have null languages. The models are fitted on ``sample`` fragments chosen by hash.
+    and blank texts, and texts without words, have null languages. The models are fitted on all fragments.
     """
-    shared = _models(fragments, sample)
+    shared = _models(fragments)
 
     def run(d: dict[str, list]) -> dict[str, list]:
         words, res = shared.value
@@ -348,13 +468,13 @@ def languages(fragments: DataFrame, sample: int = 3000) -> DataFrame:
     return map_columns(fragments, ["chunk_id", "texto", "idioma"], RESULT, run)
 
 
-def found(fragments: DataFrame, sample: int = 3000) -> DataFrame:
+def found(fragments: DataFrame) -> DataFrame:
     """p1_found: (chunk_id, idioma) for each language with a whole sentence in a case.
 
     A fragment is a case if its label names none of the five languages or another than the main one,
     or if several languages have whole sentences. Repeats give one row each; a text without words is no case.
     """
-    shared = _models(fragments, sample)
+    shared = _models(fragments)
 
     def run(d: dict[str, list]) -> dict[str, list]:
         skip, found = _judge(d, *shared.value)

@@ -214,3 +214,23 @@ def test_wide_headers_are_scored():
     model = scans.LineModel(scans.train_lines([(" ".join(ES), None, None)] * 20), {})
     *_, tests, _ = model._lines(f"La oficina revisó los datos\n{header}\ndel puerto y el comité", None, "observatorio_de_la_cuenca_alta")
     assert 1 in [i for i, _ in tests]
+
+
+def test_language_fit_counts_every_fragment(spark):
+    """No sample: rates of the distributed fit equal those of the fit on all texts at once, however the table is cut."""
+    rows = corpus(7000) + [{"chunk_id": f"rare{i}", "texto": f"{EN[0]} The quillowhisk of the river was seen by {w}."} for i, w in enumerate(["alpha", "beta", "gamma"])] + [{"chunk_id": "n", "texto": None}]
+    df = frame(spark, rows).select("chunk_id", "texto")
+    whole = language.LanguageModel([r["texto"] for r in rows if r["texto"]])
+    assert "quillowhisk" in whole.rates["en"] and "beta" in whole.rates["en"]
+    for cut in (df.repartition(3), df.repartition(7, "texto")):
+        fitted = language.LanguageModel(counted=language.count_words(cut))
+        assert fitted.rates == whole.rates and fitted.grams == whole.grams
+    none = language.LanguageModel(counted=language.count_words(df.limit(0)))
+    assert none.rates == language.LanguageModel([]).rates and not any(none.grams.values())
+
+
+def test_known_words_dont_hang_on_the_size_of_the_table():
+    """A word seen once among very many says nothing, and so counts as unseen."""
+    texts = [r["texto"] for r in corpus(300)]
+    small, large = language.LanguageModel([*texts, EN[0] + " The zorvath of the river was seen."]), language.LanguageModel([*texts * 150, EN[0] + " The zorvath of the river was seen."])
+    assert "zorvath" in small.rates["en"] and "zorvath" not in large.rates["en"] and "river" in large.rates["en"]
