@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..session import ship
 from . import quality, residue
 from .common import cut, map_columns, spread
+from .ngrams import chunks
 
 LATIN = ("es", "en", "pt", "fr", "de")
 # Frequent function words that start the fit; the rest is learnt from the table.
@@ -69,6 +70,44 @@ def label(name: str | None) -> str | None:
     return _BY_NAME.get(re.split(r"[-_ (]", s)[0]) if s else None
 
 
+@lru_cache(1)
+def _classes() -> np.ndarray:
+    """By code point, as bits: characters of TOKEN's words, white space, letters, marks that may end a piece, what must follow them, marks that end one."""
+    every = "".join(map(chr, itertools.chain(range(0xD800), range(0xE000, 0x110000))))
+    out = np.zeros(0x110000, dtype=np.uint8)
+    for bit, some in enumerate((WORD.findall(every), re.findall(r"\s", every), filter(str.isalpha, every), ".!?…", "\"»”’)]", "。！？")):
+        out[[ord(c) for c in "".join(some)]] |= 1 << bit
+    return out
+
+
+def tokens(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The words that TOKEN finds in all texts, the text of each, and whether it is the first of a piece: first in its text or after something that ends a piece."""
+    words: list[str] = []
+    in_text, firsts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=bool)]
+    for i, some in chunks(texts):
+        joined = "\n".join(some) + "\n"
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        kind = _classes().take(codes)
+        step = np.diff((kind & 1).view(np.int8), prepend=np.int8(0))
+        starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+        if not len(starts):
+            continue
+        ending = (kind & 8 > 0) & np.append(kind[1:] & 18 > 0, False) | (kind & 32 > 0)
+        # a blank line: a line break with nothing but white space before the next
+        breaks = np.flatnonzero(codes == 10)
+        ink = np.cumsum(kind & 2 == 0)[breaks]
+        ending[breaks[:-1][ink[1:] == ink[:-1]]] = True
+        letter = kind[starts] & 4 > 0
+        ending[starts[~letter]] = True
+        starts, ends = starts[letter], ends[letter]
+        text = np.searchsorted(np.cumsum([len(t) + 1 for t in some]), starts, side="right")
+        ended = np.cumsum(ending)[starts]
+        firsts.append((np.diff(text, prepend=-1) > 0) | (np.diff(ended, prepend=-1) > 0) & (np.arange(len(starts)) > 0))
+        in_text.append(text + i)
+        words += [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+    return words, np.concatenate(in_text), np.concatenate(firsts)
+
+
 _SEED_SETS = {k: set(v.split()) for k, v in SEEDS.items()}
 #: Votes of a function word for its languages, in whole numbers.
 VOTE = 60
@@ -88,40 +127,26 @@ class WordCounts:
         self.counts = np.zeros((0, len(LATIN)), dtype=np.int64)
 
     def _learn(self, tokens: list[str]) -> None:
-        for w in set(tokens):
-            if w in self.ids:
-                continue
-            if not w[0].isalpha():
-                self.ids[w] = -1
-                continue
+        for w in itertools.filterfalse(self.ids.__contains__, tokens):
             v = w.lower()
             if v not in self.words:
                 self.words[v] = len(self.votes)
                 held = [v in _SEED_SETS[k] for k in LATIN]
                 self.votes.append([x * VOTE // max(1, sum(held)) for x in held])
             self.ids[w] = self.words[v]
-        self.table = np.array(self.votes, dtype=np.int64).reshape(-1, len(LATIN))
+        self.table = np.concatenate([self.table, np.array(self.votes[len(self.table) :], dtype=np.int64).reshape(-1, len(LATIN))])
 
     def add(self, texts: list[str]) -> None:
-        split = [TOKEN.findall(t) for t in texts]
-        flat = list(itertools.chain.from_iterable(split))
-        if not flat:
+        found, text, first = tokens(texts)
+        if not found:
             return
         try:
-            ids = list(map(self.ids.__getitem__, flat))
+            ids = list(map(self.ids.__getitem__, found))
         except KeyError:
-            self._learn(flat)
-            ids = list(map(self.ids.__getitem__, flat))
-        ids = np.array(ids, dtype=np.int64)
-        text = np.repeat(np.arange(len(texts)), [len(x) for x in split])
-        word = ids >= 0
-        # a piece is what one text holds between two tokens that end pieces
-        piece = np.cumsum(~word) + text
-        ids, text, piece = ids[word], text[word], piece[word]
-        begins = np.flatnonzero(np.diff(piece, prepend=-1))
-        if not len(begins):
-            return
-        size, text = np.diff(np.append(begins, len(piece))), text[begins]
+            self._learn(found)
+            ids = list(map(self.ids.__getitem__, found))
+        ids, begins = np.array(ids, dtype=np.int64), np.flatnonzero(first)
+        size, text = np.diff(np.append(begins, len(ids))), text[begins]
         votes = np.add.reduceat(self.table[ids], begins)
         order = np.sort(votes, axis=1)
         best = votes.argmax(1)
@@ -192,17 +217,15 @@ class LanguageModel:
         self.__dict__.update(s)
         self.clear()
 
-    def _latin(self, word: str) -> np.ndarray:
+    def _latin(self, word: str) -> list[float]:
         w = word.lower()
-        r = np.log([self.rates[k].get(w, 0.0) + 1.0 for k in LATIN])
-        seen = any(w in self.rates[k] for k in LATIN)
-        if not seen:
+        r = [math.log(self.rates[k].get(w, 0.0) + 1.0) for k in LATIN]
+        if not any(w in self.rates[k] for k in LATIN):
             known = [self.scores[t] for t in _trigrams(w) if t in self.scores]
-            r = np.clip(0.35 * np.sum(known, axis=0), -1.0, 1.0) if known else np.zeros(len(LATIN))
-        r = r - r.mean()
-        if word[:1].isupper() and not word.isupper():  # names say less
-            r = r * 0.5
-        return np.clip(r, -CAP, CAP)
+            r = [max(-1.0, min(1.0, 0.35 * sum(x))) for x in zip(*known)] if known else r
+        mean = sum(r) / len(r)
+        half = 0.5 if word[:1].isupper() and not word.isupper() else 1.0  # names say less
+        return [max(-CAP, min(CAP, half * (x - mean))) for x in r]
 
     def word_row(self, word: str) -> np.ndarray:
         """Scores of one word; a script leaves only its own languages."""
@@ -221,18 +244,14 @@ class LanguageModel:
         return row
 
     def ids(self, tokens: list[str]) -> list[int]:
-        """Rows of the words in the score table; -1 for what ends a piece."""
+        """Rows of the words in the score table."""
         try:
             return list(map(self.memo.__getitem__, tokens))
         except KeyError:
-            for w in tokens:
-                if w not in self.memo:
-                    if w[0].isalpha():
-                        self.memo[w] = len(self.rows)
-                        self.rows.append(self.word_row(w))
-                        self.words.append(w.lower())
-                    else:
-                        self.memo[w] = -1
+            for w in itertools.filterfalse(self.memo.__contains__, tokens):
+                self.memo[w] = len(self.rows)
+                self.rows.append(self.word_row(w))
+                self.words.append(w.lower())
             return list(map(self.memo.__getitem__, tokens))
 
     def decode(self, words: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -296,22 +315,11 @@ def analyse(texts: list[str], model: LanguageModel, spans: bool = False) -> list
     """
     if len(model.rows) > 300_000:
         model.clear()
-    tokens = [model.ids(TOKEN.findall(t)) for t in texts]
+    found, text_of, first = tokens(texts)
     out: list[dict] = [{"main": None, "confidence": 0.0, "whole": [], "segments": []}] * len(texts)
-    lengths = np.array([len(x) for x in tokens])
-    flat = np.fromiter(itertools.chain.from_iterable(tokens), dtype=np.int64, count=int(lengths.sum()))
-    word = flat >= 0
-    text_of = np.repeat(np.arange(len(texts)), lengths)[word]
-    if not len(text_of):
+    if not found:
         return out
-    # a word begins a piece at the start of its text and after a token that ends one
-    first = np.empty(len(flat), dtype=bool)
-    first[0] = True
-    first[1:] = ~word[:-1]
-    first[np.minimum(np.concatenate([[0], np.cumsum(lengths)[:-1]]), len(flat) - 1)] = True
-    first = first[word]
-    first[np.flatnonzero(np.diff(text_of, prepend=-1))] = True
-    ids = flat[word]
+    ids = np.array(model.ids(found), dtype=np.int64)
     live, sizes = np.unique(text_of, return_counts=True)
     path = model.decode(ids, first, sizes).astype(np.int64)
     used = np.unique(ids)

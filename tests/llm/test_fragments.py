@@ -234,3 +234,17 @@ def test_known_words_dont_hang_on_the_size_of_the_table():
     texts = [r["texto"] for r in corpus(300)]
     small, large = language.LanguageModel([*texts, EN[0] + " The zorvath of the river was seen."]), language.LanguageModel([*texts * 150, EN[0] + " The zorvath of the river was seen."])
     assert "zorvath" in small.rates["en"] and "zorvath" not in large.rates["en"] and "river" in large.rates["en"]
+
+
+def test_tokens_are_those_of_the_pattern():
+    rng = random.Random(3)
+    texts = ["".join(rng.choice('aBé²ª5_.!…?\n\n \t\x0b\x85"»)]。中ñİ\0😀') for _ in range(rng.randint(0, 40))) for _ in range(2000)]
+    words, text, first = language.tokens(texts)
+    want = []
+    for i, t in enumerate(texts):
+        fresh = True
+        for w in language.TOKEN.findall(t):
+            if w[0].isalpha():
+                want.append((w, i, fresh))
+            fresh = not w[0].isalpha()
+    assert list(zip(words, text.tolist(), first.tolist())) == want
