@@ -73,16 +73,16 @@ def label(name: str | None) -> str | None:
 @lru_cache(1)
 def _classes() -> np.ndarray:
     """By code point, as bits: characters of TOKEN's words, white space, letters, marks that may end a piece, what must follow them, marks that end one."""
-    every = "".join(map(chr, itertools.chain(range(0xD800), range(0xE000, 0x110000))))
+    every = np.delete(np.arange(0x110000, dtype=np.uint32), slice(0xD800, 0xE000)).tobytes().decode("utf-32-le")
     out = np.zeros(0x110000, dtype=np.uint8)
     for bit, some in enumerate((WORD.findall(every), re.findall(r"\s", every), filter(str.isalpha, every), ".!?…", "\"»”’)]", "。！？")):
-        out[[ord(c) for c in "".join(some)]] |= 1 << bit
+        out[np.frombuffer("".join(some).encode("utf-32-le"), dtype=np.uint32)] |= 1 << bit
     return out
 
 
-def tokens(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The words that TOKEN finds in all texts, the text of each, and whether it is the first of a piece: first in its text or after something that ends a piece."""
-    words: list[str] = []
+def coded(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words that TOKEN finds in all texts; of each word of the texts its place among them, its text, and whether it is the first of a piece: first in its text or after something that ends a piece."""
+    parts = []
     in_text, firsts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=bool)]
     for i, some in chunks(texts):
         joined = "\n".join(some) + "\n"
@@ -104,8 +104,18 @@ def tokens(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         ended = np.cumsum(ending)[starts]
         firsts.append((np.diff(text, prepend=-1) > 0) | (np.diff(ended, prepend=-1) > 0) & (np.arange(len(starts)) > 0))
         in_text.append(text + i)
-        words += [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-    return words, np.concatenate(in_text), np.concatenate(firsts)
+        # words and what lies between them by turns, as code points of four bytes
+        bounds = pa.array(4 * np.stack([starts, ends], axis=1).ravel(), pa.int64()).buffers()[1]
+        every = pa.Array.from_buffers(pa.large_binary(), max(0, 2 * len(starts) - 1), [None, bounds, pa.py_buffer(codes)])
+        parts.append(every.take(pa.array(np.arange(0, 2 * len(starts), 2))))
+    words = pa.chunked_array(parts, pa.large_binary()).combine_chunks().dictionary_encode()
+    return [w.decode("utf-32-le", "surrogatepass") for w in words.dictionary.to_pylist()], words.indices.to_numpy(), np.concatenate(in_text), np.concatenate(firsts)
+
+
+def tokens(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """``coded`` with every word itself."""
+    words, at, text, first = coded(texts)
+    return [words[i] for i in at.tolist()], text, first
 
 
 _SEED_SETS = {k: set(v.split()) for k, v in SEEDS.items()}
@@ -137,7 +147,7 @@ class WordCounts:
         self.table = np.concatenate([self.table, np.array(self.votes[len(self.table) :], dtype=np.int64).reshape(-1, len(LATIN))])
 
     def add(self, texts: list[str]) -> None:
-        found, text, first = tokens(texts)
+        found, at, text, first = coded(texts)
         if not found:
             return
         try:
@@ -145,7 +155,7 @@ class WordCounts:
         except KeyError:
             self._learn(found)
             ids = list(map(self.ids.__getitem__, found))
-        ids, begins = np.array(ids, dtype=np.int64), np.flatnonzero(first)
+        ids, begins = np.array(ids, dtype=np.int64)[at], np.flatnonzero(first)
         size, text = np.diff(np.append(begins, len(ids))), text[begins]
         votes = np.add.reduceat(self.table[ids], begins)
         order = np.sort(votes, axis=1)
@@ -315,11 +325,11 @@ def analyse(texts: list[str], model: LanguageModel, spans: bool = False) -> list
     """
     if len(model.rows) > 300_000:
         model.clear()
-    found, text_of, first = tokens(texts)
+    found, at, text_of, first = coded(texts)
     out: list[dict] = [{"main": None, "confidence": 0.0, "whole": [], "segments": []}] * len(texts)
     if not found:
         return out
-    ids = np.array(model.ids(found), dtype=np.int64)
+    ids = np.array(model.ids(found), dtype=np.int64)[at]
     live, sizes = np.unique(text_of, return_counts=True)
     path = model.decode(ids, first, sizes).astype(np.int64)
     used = np.unique(ids)

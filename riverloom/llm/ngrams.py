@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 
@@ -15,6 +16,17 @@ def _lower(t: str) -> str:
     return low if len(low) == len(t) else "".join(x if len(x := c.lower()) == 1 else c for c in t)
 
 
+@lru_cache(1)
+def _lowered() -> tuple[np.ndarray, frozenset[str]]:
+    """By code point its lower case, digits as 0; and the characters whose lower case is longer or hangs on what stands around them."""
+    cased = "".join(map(chr, range(0x20000)))
+    odd = frozenset(c for c in cased if len(c.lower()) > 1) | {"\u03a3"}
+    out = np.arange(0x110000, dtype=np.uint32)
+    out[: len(cased)] = np.frombuffer("".join([c if c in odd else c.lower() for c in cased]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    out[48:58] = 48
+    return out, odd
+
+
 #: What follows every text of a batch; no n-gram of up to five characters reaches past it.
 END = "\n\0\0\0\0"
 
@@ -26,12 +38,12 @@ class Batch:
     """
 
     def __init__(self, texts: list[str]):
-        joined = "".join([t + END for t in texts])
-        low = joined.lower()
-        if len(low) != len(joined):
-            low = "".join([_lower(t) + END for t in texts])
-        self.codes = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).copy()
-        self.codes[(self.codes >= 48) & (self.codes <= 57)] = 48
+        joined = END.join([*texts, ""])
+        table, odd = _lowered()
+        if any(c in joined for c in odd):
+            low = joined.lower()
+            joined = low if len(low) == len(joined) else "".join([_lower(t) + END for t in texts])
+        self.codes = table.take(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
         self.starts = np.concatenate([[0], np.cumsum([len(t) + len(END) for t in texts])]).astype(np.int64)
 
     def hashes(self, order: int, bits: int) -> np.ndarray:

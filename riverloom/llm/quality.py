@@ -53,6 +53,8 @@ _NUMBER = re.compile(r"^[-+]?[\d.,\s]*\d%?$|^(?:n/?[ad]|s/?d|-|–|—)$", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 _PAIR = re.compile(r"[^\s:]+:\s+\S")
 _REPEAT = re.compile(r"(.)\1{4,}|\b(\w{2,4}?)\2{1,}\b")
+#: ASCII digits, superscripts and all from the first other digit on.
+_MAYBE_DIGIT = re.compile(r"[^\x00-/:-\xb1\xb4-\xb8\xba-\u065f]")
 _VOWELS = frozenset("aeiouyáéíóúàâãäåæèêëìîïòôõöùûüýœ")
 _CLUSTER = re.compile(r"[bcdfghjklmnpqrstvwxzñç]{5,}", re.I)
 _MISSING = re.compile(r"(?<!\w)(?:n/?[ad]|s/?d)(?!\w)", re.I)
@@ -73,6 +75,22 @@ def _key_run(w: str) -> bool:
     return near >= 0.6 * (len(w) - 1)
 
 
+def _digits(s: str) -> int:
+    """How many characters are digits, also those that aren't ASCII."""
+    return sum(map(str.isdigit, _MAYBE_DIGIT.findall(s)))
+
+
+def _mostly_hex(tokens: list[str]) -> bool:
+    """Whether at least 0.8 of the tokens are hexadecimal numbers; the rest isn't looked at once too many are not."""
+    left = len(tokens)
+    for t in tokens:
+        if not _HEX.match(t):
+            left -= 1
+            if left < 0.8 * len(tokens):
+                return False
+    return True
+
+
 @lru_cache(1 << 16)
 def odd(word: str) -> bool:
     """No plausible word of a readable language."""
@@ -101,22 +119,22 @@ def line_kind(line: str) -> str:
         return "basura" if len(names) > 3 and sum(map(odd, names)) > 2 else "corta"
     leader = s[-1].isdigit() and _LEADER.search(s)
     for mark in "|;\t":
-        if s.count(mark) >= 3 and sum(map(str.isdigit, s)) >= LIMITS["digits_line"] * len(s) and not leader:
+        if s.count(mark) >= 3 and _digits(s) >= LIMITS["digits_line"] * len(s) and not leader:
             return "tabla"
     words = _WORD.findall(_MISSING.sub(" ", s))
     letters = sum(map(len, words))
-    digits = sum(map(str.isdigit, s))
+    digits = _digits(s)
     dense = len(s) - s.count(" ")
     if letters + digits < (1 - LIMITS["symbols"]) * dense and not leader and "|" not in s and dense > 12:
         return "basura"
     if s.count("(cid:") > 2:
         return "basura"
     tokens = s.split()
-    if len(tokens) >= 8 and sum(bool(_HEX.match(t)) for t in tokens) >= 0.8 * len(tokens) and re.search("[a-fA-F]", s):
+    if len(tokens) >= 8 and _mostly_hex(tokens) and re.search("[a-fA-F]", s):
         return "basura"
     if max(map(len, s.split())) > 40 and _LOWER_UPPER.search(s):
         return "basura"
-    common = sum(w.lower() in COMMON for w in words) / max(1, len(words))
+    common = sum(map(COMMON.__contains__, map(str.lower, words))) / max(1, len(words))
     if leader and not _CELLS.search(_LEADER.sub("", s)):
         return "lista"
     if len(words) > 3 and sum(map(odd, words)) > LIMITS["odd_words"] * len(words):
@@ -152,7 +170,7 @@ def classify(text: str, common: float, bullets: float, failed: bool = False) ->
         return "vacio", ""
     marks = "...." in text or ". . ." in text or "……" in text or "\t" in text or ";" in text
     if not failed and common >= 0.25 and not bullets and "|" not in text and ". . ." not in text and "...." not in text and "……" not in text and not (marks and _LEADERS.search(text)):
-        if "\n" not in text or sum(map(str.isdigit, text)) < 0.06 * len(text):
+        if "\n" not in text or _digits(text) < 0.06 * len(text):
             return "prosa", f"palabras comunes {common:.2f}"
     lines = text.split("\n")
     weight: dict[str, int] = {}

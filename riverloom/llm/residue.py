@@ -28,8 +28,9 @@ _SLOT = re.compile(
     r"|\[\[\s*\w+\s*\]\]|\[[^\W\d]\w*\](?!\()|<[^\W\d]\w*>|&lt;[^\W\d]\w*&gt;|(?<!\w)__[^\W_][\w]*?__(?!\w)|\{%\s*\w+\s*%\}|%\([^\W\d]\w*\)s|::[^\W\d]\w*::|~[^\W\d]\w*_\w*~)(?![»”\"'’])"
 )
 _RENDERED = re.compile(r"(?<![\w/«“\"])(?:nan|NaN|NAN|null|NULL|None|NONE|undefined|UNDEFINED|#N/A|#REF!|N/D|\?\?\?|\[object Object\])(?![\w/»”\"])")
-#: What every notation of ``_SLOT`` and ``_RENDERED`` holds.
-_MARK = re.compile(r"[{$<%@\[&_:~#?]|N[aA]N|nan|N/D|[Nn]ull|NULL|None|NONE|undefined|UNDEFINED")
+#: What every notation of ``_SLOT`` and ``_RENDERED`` holds: a mark or one of these words.
+_MARK = re.compile(r"[{$<%@\[&_:~#?]")
+_MARK_WORDS = ("nan", "NaN", "NAN", "N/D", "null", "Null", "NULL", "None", "NONE", "undefined", "UNDEFINED")
 
 
 class Windows:
@@ -130,7 +131,7 @@ class ResidueModel:
         at = np.flatnonzero((peak > SLOT_LLR) & ~residue)
         for i, t, u, v in zip(at.tolist(), text[at].tolist(), np.maximum(0, found.begin[at] - 1).tolist(), (found.end[at] + 1).tolist()):
             piece = texts[t][u:v]
-            if _MARK.search(piece) and (_SLOT.search(piece) or _RENDERED.search(piece)):
+            if (_MARK.search(piece) or any(map(piece.__contains__, _MARK_WORDS))) and (_SLOT.search(piece) or _RENDERED.search(piece)):
                 cover[i] = covered(i)
                 residue[i], kind[i] = True, len(CLASSES) - 1
         return found

@@ -248,3 +248,35 @@ def test_tokens_are_those_of_the_pattern():
                 want.append((w, i, fresh))
             fresh = not w[0].isalpha()
     assert list(zip(words, text.tolist(), first.tolist())) == want
+
+
+class Lookups(dict):
+    """A dict that counts what is looked up."""
+
+    n = 0
+
+    def __getitem__(self, key):
+        self.n += 1
+        return super().__getitem__(key)
+
+
+def test_each_distinct_word_is_looked_up_once():
+    """Counting and scoring hang on the distinct words of a batch, not on all its words."""
+    texts = [*ES, *EN] * 400
+    distinct = len({w for t in texts for w in language.TOKEN.findall(t)})
+    counts, model = language.WordCounts(), language.LanguageModel(texts)
+    counts.ids, model.memo = Lookups(), Lookups()
+    counts.add(texts)
+    found = language.analyse(texts, model)
+    assert counts.ids.n <= 2 * distinct and model.memo.n <= 2 * distinct
+    words, n = counts.rows()
+    assert n[words.index("office")].tolist() == [0, 400, 0, 0, 0]
+    assert [x["main"] for x in found] == ["es"] * 3 + ["en"] * 3 + [x["main"] for x in found[6:]] and found[:6] * 400 == found
+    assert language.coded(["", " 12 ", "\n"])[0] == [] and len(language.coded([])[1]) == 0
+
+
+def test_digits_and_hexadecimal_tokens():
+    assert all(quality._digits(chr(c)) == chr(c).isdigit() for c in range(0x110000))
+    for text in ("8d 4f 00 a1 z bb c2 9e 10 44", "8d 4f 00 a1 z z c2 9e 10 44", "8d 4f 00 a1 z z z 9e 10 44", "z z z a1 b2"):
+        parts = text.split()
+        assert quality._mostly_hex(parts) == (sum(bool(quality._HEX.match(t)) for t in parts) >= 0.8 * len(parts))

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from riverloom.llm import residue, residue_text
+from riverloom.llm import ngrams, residue, residue_text
 
 UNSEEN = """La página a la que intenta entrar no está publicada.|Error 410: este contenido fue eliminado de manera permanente.|No se pudo establecer conexión con el servidor.|Usted no tiene autorización para consultar este archivo.|Su cuenta fue bloqueada por intentos fallidos.|Espere unos segundos y recargue la página.|Este enlace ya no funciona.|Vuelva a iniciar sesión para ver el documento.|El sitio se encuentra en mantenimiento.|Demuestre que no es un robot.
 JavaScript está desactivado en este navegador.|Active JavaScript y vuelva a cargar el sitio.|Para ver esta página habilite los scripts.|Haga clic para añadir texto aquí|Escriba un título para este documento|Texto de ejemplo para reemplazar.|[Insertar nombre del autor]|Lorem ipsum dolor sit amet, sed do eiusmod.|Contenido pendiente.|El documento solicitado no se encuentra disponible.
@@ -66,3 +66,17 @@ def test_windows_hang_on_their_own_text_alone():
     model = residue.ResidueModel(_split(SOUND))
     together, alone = model.windows(texts), [model.windows([t]) for t in texts]
     assert together.ratio.tolist() == [x for w in alone for x in w.ratio.tolist()]
+
+
+def test_lower_case_is_that_of_the_text():
+    """Also where it is longer than the character or hangs on those around it."""
+    every = [chr(c) for c in range(0x20000)]
+    for texts in (every, [c for c in every if c not in "İΣ"], ["ΟΔΟΣ", "ΣΑΣ 12"], ["İzmir 2ª"], [""], []):
+        want = [48 if "0" <= c <= "9" else ord(c) for c in "".join(ngrams._lower(t) + ngrams.END for t in texts)]
+        assert ngrams.Batch(texts).codes.tolist() == want
+
+
+def test_every_notation_holds_a_mark():
+    for piece in ("nan", "NaN", "NAN", "null", "NULL", "None", "NONE", "undefined", "UNDEFINED", "N/D", "#N/A", "???", "{{ a }}", "[nombre]", "%nombre%", "$autor$", "@@ a @@", "&lt;a&gt;", "__a__", "::a::", "~a_b~"):
+        assert residue._RENDERED.search(piece) or residue._SLOT.search(piece)
+        assert residue._MARK.search(piece) or any(map(piece.__contains__, residue._MARK_WORDS))
